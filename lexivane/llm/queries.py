@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexivane.llm import bpe
+from lexivane.llm import bpe, mixing
 from lexivane.llm.common import table
 
 
@@ -14,6 +14,12 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op8_mix_sources(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    plan = mixing.copies(docs)
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("n_copies") * F.col("size")).alias("taken"))
+
+
 def op9_bpe_codec(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = tokenizer_path()
@@ -22,7 +28,35 @@ def op9_bpe_codec(spark, sf_dir):
 
 
 QUERIES = {
+    "op8_mix_sources": op8_mix_sources,
     "op9_bpe_codec": op9_bpe_codec,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_mix_sources": r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
+), w AS (
+  SELECT *, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::DOUBLE AS weight FROM s
+), r AS (
+  SELECT *, 3.0::DOUBLE * source_size AS most, 3.0::DOUBLE * source_size / weight AS ratio FROM w
+), q AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(most) OVER o, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER o, 0)) AS rate
+  FROM r WINDOW o AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), f AS (
+  SELECT (SELECT rate FROM q WHERE ratio >= rate ORDER BY ratio, source NULLS LAST LIMIT 1) AS final
+), g AS (
+  SELECT source, source_size, CASE WHEN final IS NULL OR ratio < final THEN most ELSE final * weight END::DOUBLE AS target,
+         ('0x' || substr(md5('20:' || coalesce(source, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
+  FROM r, f
+), k AS (
+  SELECT d.doc_id, d.size, g.source_size, g.target, g.u,
+         CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0 END AS c,
+         row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id) AS i
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, size, source_size, target, (size * (floor(i * c + u) - floor((i - 1) * c + u)))::BIGINT AS taken FROM k
+""",
+}
