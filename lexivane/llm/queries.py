@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexivane.llm import bpe, chat, mixing
-from lexivane.llm.common import table
+from lexivane.llm import bpe, chat, mixing, token_files
+from lexivane.llm.common import table, work_path
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -31,15 +31,21 @@ def op8_mix_sources(spark, sf_dir):
 
 def op9_bpe_codec(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    path = tokenizer_path()
-    coded = bpe.decode(bpe.encode(docs, path), path)
+    coded = bpe.encode(docs, tokenizer_path(), decoded_col="decoded")
     return coded.select("doc_id", *bpe.digests(coded))
 
 
+def op10_token_files(spark, sf_dir):
+    out = work_path(spark, "ids")
+    token_files.write(table(spark, sf_dir, "documents").select("doc_id", "text"), out, tokenizer_path())
+    return token_files.read(spark, out)
+
+
 QUERIES = {
     "op7_chat_format": op7_chat_format,
     "op8_mix_sources": op8_mix_sources,
     "op9_bpe_codec": op9_bpe_codec,
+    "op10_token_files": op10_token_files,
 }
 
 ORACLE_SQL: dict[str, str] = {
