@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexivane.llm import bpe, chat, mixing, token_files
+from lexivane.llm import bpe, chat, media, mixing, token_files
 from lexivane.llm.common import table, work_path
 
 
@@ -14,6 +14,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op3_media_columns(spark, sf_dir):
+    return media.media_columns(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 PLANTED_CHAT = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 
@@ -42,6 +46,7 @@ def op10_token_files(spark, sf_dir):
 
 
 QUERIES = {
+    "op3_media_columns": op3_media_columns,
     "op7_chat_format": op7_chat_format,
     "op8_mix_sources": op8_mix_sources,
     "op9_bpe_codec": op9_bpe_codec,
