@@ -22,16 +22,17 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexivane.llm.common import free_name
+from lexivane.llm.common import bounded_batches, free_name
 
 LEAF = 64
 WINDOW = 4
-CACHE_WORDS = 200_000
+CACHE_WORDS = 150_000
 LONG_WORD = 64
 
 
@@ -69,7 +70,12 @@ class TreeBpe:
         self.special = {a["content"]: a["id"] for a in spec.get("added_tokens", [])}
         self.strings |= {i: s for s, i in self.special.items()}
         self.cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.known, self.parts = Recent(), Recent(CACHE_WORDS // 2)
+        self.all_ids = pa.array(sorted(self.strings), pa.int32())
+        self.names = pa.array([self.strings.get(i, "") for i in range(max(self.strings) + 1)], pa.string())
+        self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.id_bytes = {i: i.to_bytes(4, "little") for i in self.strings}
+        self.tokenize = self.engine.model.tokenize
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printable]
         self.byte_symbols = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
@@ -114,78 +120,88 @@ class TreeBpe:
 
     def pieces(self, run: str) -> list[str]:
         """Pre-tokens of a run without special tokens, as strings of symbols."""
-        if run and max(run) < "\u0250" and "\u0130" not in run:
+        if run and run.isprintable() and max(run) < "\u0250" and "\u0130" not in run:
             # Below U+0250 every character is its own NFC form, and the classes of letters and numbers are settled.
-            return [x.encode().decode("latin-1").translate(self.byte_symbols) for x in self.latin.findall(run.lower())]
+            found = self.latin.findall(run.lower())
+            return found if run.isascii() else [x.encode().decode("latin-1").translate(self.byte_symbols) for x in found]
         text = self.normalizer.normalize_str(run) if self.normalizer else run
         return [x for x, _ in self.pre_tokenizer.pre_tokenize_str(text) if x]
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        ids = self.parts.get(piece)
-        if ids is None:
-            symbols = piece[:-1] + self.ending.get(piece[-1], piece[-1] + self.suffix) if self.suffix else piece
-            ids = tuple([t.id for t in self.engine.model.tokenize(symbols)] if len(symbols) <= self.leaf else self.encode_symbols(symbols))
-            if len(piece) <= LONG_WORD:
-                self.parts.put(piece, ids)
+    def _piece(self, piece: str) -> bytes:
+        symbols = piece[:-1] + self.ending.get(piece[-1], piece[-1] + self.suffix) if self.suffix else piece
+        if len(symbols) > self.leaf:
+            return np.array(self.encode_symbols(symbols), dtype=np.int32).tobytes()
+        as_bytes = self.id_bytes
+        ids = self.parts[piece] = b"".join([as_bytes[t.id] for t in self.tokenize(symbols)])
         return ids
 
-    def word(self, run: str) -> tuple[int, ...]:
-        if self.cut_special and self.cut_special.search(run):
-            parts = self.cut_special.split(run)
-        else:
-            parts = [run]
-        ids: list[int] = []
-        for p in parts:
+    def word(self, run: str) -> bytes:
+        """Ids of one run, as 32-bit integers in bytes."""
+        get = self.parts.get
+        if run.isascii() and run.isalpha():
+            piece = run.lower()
+            return get(piece) or self._piece(piece)
+        out = []
+        for p in self.cut_special.split(run) if self.cut_special and self.cut_special.search(run) else (run,):
             if p in self.special:
-                ids.append(self.special[p])
+                out.append(self.id_bytes[self.special[p]])
             else:
-                for x in self.pieces(p):
-                    ids += self._piece(x)
-        return tuple(ids)
+                out += [get(x) or self._piece(x) for x in self.pieces(p)]
+        return b"".join(out)
+
+    def words(self, runs: list[str]) -> list[bytes]:
+        if len(self.parts) > CACHE_WORDS:
+            self.parts.clear()
+        word = self.word
+        return [word(w) for w in runs]
 
     # ---- texts --------------------------------------------------------------------
     def encode(self, text: str | None) -> list[int]:
-        return self.encode_batch([text])[0]
+        return self.encode_batch(pa.array([text], pa.string()))[0].as_py()
 
-    def encode_batch(self, texts: list[str | None]) -> list[list[int]]:
-        return encode_by_runs(texts, self.known, lambda runs: [self.word(w) for w in runs])
+    def encode_batch(self, texts) -> pa.ListArray:
+        return encode_by_runs(texts, self.known, self.words)
 
     def decode(self, ids) -> str:
         """As the library does without a decoder: the tokens' strings joined by one space; unknown ids give nothing."""
-        s = self.strings
-        return " ".join([s[i] for i in ids if i in s])
-
-
-def encode_by_runs(texts: list[str | None], known: "Recent", encode_runs) -> list[list[int]]:
-    """Ids of each text from those of its runs between spaces and line ends; encode_runs is asked once for those that aren't known."""
-    split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-    here = {w: known.get(w) for w in set(chain.from_iterable(split))}
-    new = [w for w, ids in here.items() if ids is None]
-    for w, ids in zip(new, encode_runs(new)):
-        here[w] = ids
-        if len(w) <= LONG_WORD:
-            known.put(w, ids)
-    return [list(chain.from_iterable([here[w] for w in x])) for x in split]
-
-
-class Recent:
-    """A bounded map: what was used lately stays, the rest goes."""
-
-    def __init__(self, most: int = CACHE_WORDS):
-        self.most, self.young, self.old = most, {}, {}
-
-    def get(self, key):
-        v = self.young.get(key)
-        if v is None:
-            v = self.old.get(key)
-            if v is not None:
-                self.put(key, v)
-        return v
-
-    def put(self, key, value) -> None:
-        if len(self.young) >= self.most:
-            self.old, self.young = self.young, {}
-        self.young[key] = value
+        return self.decode_batch(pa.array([list(ids)], pa.list_(pa.int32())))[0].as_py()
+
+    def decode_batch(self, ids: pa.ListArray) -> pa.Array:
+        base, end = ids.offsets[0].as_py(), ids.offsets[-1].as_py()
+        flat, ends = ids.values.slice(base, end - base), np.asarray(ids.offsets) - base
+        strange = pc.invert(pc.fill_null(pc.is_in(flat, self.all_ids), False))
+        if pc.any(strange).as_py():
+            keep = ~np.asarray(strange)
+            flat, ends = flat.filter(pa.array(keep)), np.concatenate([[0], np.cumsum(keep)])[ends]
+        names = self.names.take(flat)
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), names), " ")
+
+
+def encode_by_runs(texts: pa.Array, known: dict[str, bytes], encode_runs) -> pa.ListArray:
+    """Ids of each text from those of its runs between spaces and line ends; encode_runs is asked once for those that aren't known.
+
+    Splitting, finding the distinct runs and laying out the ids are done by Arrow. `known`
+    keeps CACHE_WORDS runs at least; when it has more, only those of the last batch stay.
+    """
+    split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+    coded = split.values.dictionary_encode()
+    runs = coded.dictionary.to_pylist()
+    ids = list(map(known.get, runs))
+    new = [i for i, x in enumerate(ids) if x is None]
+    if len(known) + len(new) > CACHE_WORDS:
+        known.clear()
+        known.update((w, x) for w, x in zip(runs, ids) if x is not None)
+    for i, x in zip(new, encode_runs([runs[i] for i in new])):
+        ids[i] = x
+        if len(runs[i]) <= LONG_WORD:
+            known[runs[i]] = x
+    sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+    starts = np.zeros(len(ids) + 1, dtype=np.int64)
+    np.cumsum(sizes, out=starts[1:])
+    each = pa.LargeListArray.from_arrays(pa.array(starts), pa.array(np.frombuffer(b"".join(ids), dtype=np.int32)))
+    laid = each.take(coded.indices)
+    at = np.asarray(laid.offsets)[np.asarray(split.offsets)]
+    return pa.ListArray.from_arrays(pa.array((at - at[0]).astype(np.int32)), laid.values.slice(at[0], at[-1] - at[0]))
 
 
 _coders: dict[str, TreeBpe] = {}
@@ -201,13 +217,11 @@ def _with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.Recor
     return pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, name])
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000):
+def slices(batch: pa.RecordBatch, column: str, most: int = 2_000_000):
     """Parts of a batch of about so many bytes of text each, a row at least."""
     col = batch.column(batch.schema.get_field_index(column))
     if not len(col):
         return
-    import pyarrow.compute as pc
-
     sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(col), 0), dtype=np.int64))
     at = 0
     while at < len(col):
@@ -217,22 +231,26 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000):
         at = to
 
 
-def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """df with the token ids of each whole text as array<int> in ids_col."""
-    if ids_col in df.columns:
-        ids_col = free_name(df, ids_col)
-    schema = T.StructType([*df.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False)])
+def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
+    """df with the token ids of each whole text as array<int> in ids_col and, if a name is given, what they decode to in decoded_col.
+
+    A name that df already has gets underscores in front.
+    """
+    ids_col = free_name(df, ids_col)
+    fields = [*df.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False)]
+    if decoded_col:
+        decoded_col = free_name(df, decoded_col)
+        fields.append(T.StructField(decoded_col, T.StringType(), False))
+    schema = T.StructType(fields)
+    bounded_batches(df.sparkSession)
 
     def run(batches):
         c = coder(path)
         for whole in batches:
             for batch in slices(whole, text_col):
-                texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-                ids = c.encode_batch(texts)
-                ends = np.zeros(len(ids) + 1, dtype=np.int32)
-                np.cumsum([len(x) for x in ids], out=ends[1:])
-                flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(ends[-1]))
-                yield _with_column(batch, ids_col, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
+                ids = c.encode_batch(batch.column(batch.schema.get_field_index(text_col)))
+                out = _with_column(batch, ids_col, ids)
+                yield _with_column(out, decoded_col, c.decode_batch(ids)) if decoded_col else out
 
     return df.mapInArrow(run, schema)
 
@@ -241,29 +259,19 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", decoded_col: str = "d
     """df with the decoded text of each array of ids; null ids decode to the empty string."""
     schema = T.StructType([*df.schema.fields, T.StructField(decoded_col, T.StringType(), False)])
 
+    bounded_batches(df.sparkSession)
+
     def run(batches):
         c = coder(path)
-        strings = c.strings
         for batch in batches:
             col = batch.column(batch.schema.get_field_index(ids_col))
-            if isinstance(col, pa.ChunkedArray):
-                col = col.combine_chunks()
-            ends, flat = np.asarray(col.offsets), np.asarray(col.values)
-            most = max(strings) + 2
-            names = [strings.get(i) for i in range(most)]
-            gone = [i for i in range(most) if names[i] is None]
-            out, at = [], 0
-            while at < len(col):  # bounded slices: a batch's decoded texts can be far larger than its ids
-                to = max(at + 1, int(np.searchsorted(ends, ends[at] + 1_000_000, "right")) - 1)
-                part = []
-                for i in range(at, min(to, len(col))):
-                    ids = flat[ends[i] : ends[i + 1]]
-                    if gone and len(ids) and (ids.min() < 0 or ids.max() >= most or np.isin(ids, gone).any()):
-                        part.append(c.decode(ids.tolist()))
-                    else:
-                        part.append(" ".join([names[j] for j in ids.tolist()]))
-                yield _with_column(batch.slice(at, len(part)), decoded_col, pa.array(part, pa.string()))
-                at += len(part)
+            ends = np.asarray(col.offsets)
+            at = 0
+            while at < len(col):  # in bounded parts: decoded texts can be far larger than their ids
+                n = max(1, int(np.searchsorted(ends, ends[at] + 1_000_000, "right")) - 1 - at)
+                part = batch.slice(at, n)
+                yield _with_column(part, decoded_col, c.decode_batch(pc.fill_null(col.slice(at, n), [])))
+                at += n
 
     return df.mapInArrow(run, schema)
 

@@ -54,6 +54,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches for Python of a bounded number of rows and bytes, unless the session already says so."""
+    for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "2000"), ("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))):
+        if spark.sparkContext.getConf().get(key) is None:
+            spark.conf.set(key, value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
