@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexivane.llm import bpe, chat, media, mixing, token_files
+from lexivane.llm import bpe, chat, media, mixing, neardup, token_files
 from lexivane.llm.common import table, work_path
 
 
@@ -18,6 +18,10 @@ def op3_media_columns(spark, sf_dir):
     return media.media_columns(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_minhash_dedup(spark, sf_dir):
+    return neardup.components(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("node")
+
+
 PLANTED_CHAT = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 
@@ -47,6 +51,7 @@ def op10_token_files(spark, sf_dir):
 
 QUERIES = {
     "op3_media_columns": op3_media_columns,
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op7_chat_format": op7_chat_format,
     "op8_mix_sources": op8_mix_sources,
     "op9_bpe_codec": op9_bpe_codec,
@@ -54,6 +59,29 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_minhash_dedup": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w
+), n AS (
+  SELECT doc_id, len(s)::BIGINT AS n FROM s
+), e AS (
+  SELECT doc_id, unnest(s) AS x FROM s
+), i AS (
+  SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS i FROM e p JOIN e q ON p.x = q.x AND p.doc_id < q.doc_id GROUP BY ALL
+), l AS (
+  SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)
+), both_ways AS (
+  SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r(a, c) AS (
+  SELECT doc_id, doc_id FROM n UNION SELECT l.b, r.c FROM r JOIN both_ways l ON l.a = r.a
+), c AS (
+  SELECT a, min(c) AS c FROM r GROUP BY a
+)
+SELECT doc_id, n AS n_shingles, c AS component_id, doc_id = c AS kept FROM n JOIN c ON c.a = doc_id
+""",
     "op7_chat_format": r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
