@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexivane.llm import bpe, chat, media, mixing, neardup, token_files
+from lexivane.llm import bpe, chat, media, mixing, neardup, token_files, toxicity
 from lexivane.llm.common import table, work_path
 
 
@@ -14,6 +14,22 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def split_of(key, folds: int, held: int):
+    """True for rows of the fold that isn't learned from."""
+    return (F.crc32(key.cast("string")) % folds) == held
+
+
+def toxicity_model(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels").filter(~split_of(F.col("doc_id"), 4, 2))
+    return toxicity.fit(table(spark, sf_dir, "documents").select("doc_id", "text"), labels)
+
+
+def op1_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", split_of(F.col("doc_id"), 4, 2).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op3_media_columns(spark, sf_dir):
     return media.media_columns(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -22,12 +38,14 @@ def op5_minhash_dedup(spark, sf_dir):
     return neardup.components(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("node")
 
 
-PLANTED_CHAT = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+PLANTED_CHAT = """
+SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)
+"""
 
 
 def op7_chat_format(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    turns = turns.unionByName(spark.createDataFrame(PLANTED_CHAT, "conv_id long, turn long, role string, text string"))
+    turns = turns.unionByName(spark.sql(PLANTED_CHAT))
     return chat.digests(chat.read_back(chat.format_chats(chat.from_turns(turns))))
 
 
@@ -50,6 +68,7 @@ def op10_token_files(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op3_media_columns": op3_media_columns,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op7_chat_format": op7_chat_format,
