@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexivane.llm import bpe, chat, media, mixing, neardup, token_files, toxicity
+from lexivane.llm import bpe, chat, media, mixing, neardup, quality, token_files, toxicity
 from lexivane.llm.common import table, work_path
 
 
@@ -30,6 +30,17 @@ def op1_toxicity(spark, sf_dir):
     return scored.select("doc_id", split_of(F.col("doc_id"), 4, 2).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def quality_model(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels").filter(~split_of(F.col("doc_id"), 5, 0))
+    return quality.fit(table(spark, sf_dir, "documents").select("doc_id", "text"), labels)
+
+
+def op2_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality_model(spark, sf_dir))
+    return scored.select("doc_id", split_of(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op3_media_columns(spark, sf_dir):
     return media.media_columns(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -69,6 +80,7 @@ def op10_token_files(spark, sf_dir):
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_quality": op2_quality,
     "op3_media_columns": op3_media_columns,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op7_chat_format": op7_chat_format,
