@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexivane.llm import bpe, chat, media, mixing, neardup, quality, token_files, toxicity
+from lexivane.llm import bpe, chat, embdup, media, mixing, neardup, quality, token_files, toxicity
 from lexivane.llm.common import table, work_path
 
 
@@ -49,6 +49,10 @@ def op5_minhash_dedup(spark, sf_dir):
     return neardup.components(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("node")
 
 
+def op6_embedding_dedup(spark, sf_dir):
+    return embdup.components(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 PLANTED_CHAT = """
 SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)
 """
@@ -83,6 +87,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_media_columns": op3_media_columns,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_chat_format": op7_chat_format,
     "op8_mix_sources": op8_mix_sources,
     "op9_bpe_codec": op9_bpe_codec,
@@ -90,6 +95,23 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_embedding_dedup": r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS norm FROM embeddings
+), ok AS (
+  SELECT * FROM v WHERE e IS NOT NULL AND norm > 0 AND isfinite(norm) AND len(list_filter(e, lambda x: x IS NULL)) = 0
+), l AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM ok x JOIN ok y ON x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_inner_product(x.e, y.e) / (x.norm * y.norm) >= 0.95
+), n AS (
+  SELECT a, count(*) AS n FROM l GROUP BY a
+), r(a, c) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.a
+), c AS (
+  SELECT a, min(c) AS c FROM r GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, c AS component_id, vec_id = c AS kept FROM v JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
+""",
     "op5_minhash_dedup": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
