@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexivane.llm import bpe, chat, embdup, media, mixing, neardup, quality, token_files, toxicity
+from lexivane.llm import bpe, chat, embdup, html_extract, media, mixing, neardup, quality, token_files, toxicity
 from lexivane.llm.common import table, work_path
 
 
@@ -53,6 +53,10 @@ def op6_embedding_dedup(spark, sf_dir):
     return embdup.components(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op4_html_extract(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
 PLANTED_CHAT = """
 SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)
 """
@@ -86,6 +90,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
     "op3_media_columns": op3_media_columns,
+    "op4_html_extract": op4_html_extract,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_chat_format": op7_chat_format,
