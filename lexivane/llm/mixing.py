@@ -12,7 +12,7 @@ for each partition and source it holds, plus one) are summed over partitions. No
 is gathered in one task.
 
 Defined results: null text has size 0; a null source is a source of its own, ordered
-last; documents of size 0 take no words whatever their copies; sources whose size is 0
+last; documents of size 0 take no words whatever their copies, and their copies are made all the same; sources whose size is 0
 have target 0 and no copies; repeated rows are rows of their own; an empty table gives an
 empty result; other columns are kept, whatever their names.
 """
@@ -66,9 +66,9 @@ def offset_of(source, seed: int):
 
 
 def copies(docs: DataFrame, key_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights=WEIGHTS, cap: float = CAP, share: float = 1.0, seed: int = SEED) -> DataFrame:
-    """doc_id, source, size, tie (a hash of the text), source_size, target and n_copies of each document: a slim table without texts."""
+    """doc_id, source, size, tie (a hash of the row), source_size, target and n_copies of each document: a slim table without texts."""
     spark = docs.sparkSession
-    slim = docs.select(F.col(key_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.size(words(F.col(text_col))).cast("long").alias("size"), F.xxhash64(text_col).alias("tie"))
+    slim = docs.select(F.col(key_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.size(words(F.col(text_col))).cast("long").alias("size"), row_hash(docs).alias("tie"))
     slim = materialize(slim, "sizes")  # texts are read and split once
     n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("doc_id"), F.col("tie")]
@@ -87,19 +87,19 @@ def copies(docs: DataFrame, key_col: str = "doc_id", source_col: str = "source",
     return joined.select("d.doc_id", "d.source", "size", "tie", "source_size", "target", (F.floor(rank * each + u) - F.floor((rank - 1) * each + u)).cast("long").alias("n_copies"))
 
 
+def row_hash(docs: DataFrame):
+    """A 64-bit hash of all columns of a row that have one."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if not any(x in kind for x in ("map<", "variant", "void"))])
+
+
 def mix(docs: DataFrame, key_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
     """The mixture itself: each row of docs, with all of its columns, as often as it is taken.
 
-    Rows that are alike in key, source, size and text take the sum of their copies in turn,
-    so the join is by key and each repeated row is matched once.
+    Rows alike in all columns are interchangeable: one stands for them, as often as they
+    are taken together. The texts are shuffled once.
     """
+    key = F.coalesce(F.col(key_col).cast("string"), F.lit("\0null"))
     plan = copies(docs, key_col, source_col, text_col, **options)
-    same = Window.partitionBy("_k", "_s", "_t").orderBy(F.lit(0))
-    taken = plan.select(F.col("doc_id").alias("_k"), F.col("source").alias("_s"), F.col("tie").alias("_t"), F.col("n_copies").alias("_n"))
-    taken = taken.withColumn("_i", F.row_number().over(Window.partitionBy("_k", "_s", "_t").orderBy("_n"))).filter("_n > 0")
-    names = docs.columns
-    left = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(key_col).alias("_k"), F.col(source_col).cast("string").alias("_s"), F.xxhash64(text_col).alias("_t"))
-    left = left.withColumn("_i", F.row_number().over(same))
-    on = F.col("l._k").eqNullSafe(F.col("r._k")) & F.col("l._s").eqNullSafe(F.col("r._s")) & (F.col("l._t") == F.col("r._t")) & (F.col("l._i") == F.col("r._i"))
-    out = left.alias("l").join(taken.alias("r"), on).select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_n").cast("int"))).alias("_x"))
-    return out.select("_row.*")
+    taken = plan.groupBy(F.coalesce(F.col("doc_id").cast("string"), F.lit("\0null")).alias("k"), F.col("tie").alias("h")).agg(F.sum("n_copies").cast("int").alias("n")).filter("n > 0")
+    rows = docs.select(key.alias("k"), row_hash(docs).alias("h"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).groupBy("k", "h").agg(F.first("row").alias("row"))
+    return rows.join(taken, ["k", "h"]).select("row", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i")).select("row.*")
