@@ -8,13 +8,14 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: What the symbol flag replaces by a space.
 SYMBOLS = r"""(<[^>]*>)|([0-9,.;:&^/\-−#'"()\[\]、。【】「」~・])"""
 LETTERS = "[a-zA-Z]+"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc_lower(texts: pd.Series) -> pd.Series:
     """NFKC and lower case, Arrow batches at a time."""
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t).lower())

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import Word2Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -188,5 +189,6 @@ def _own(corpus, vocab, size, window, sample, hs, negative, cbow, iter, alpha, s
             sent.unpersist()
     finally:
         lines.unpersist()
-    pdf = pd.DataFrame({"word_id": np.arange(n, dtype=np.int32), "word": [r.word for r in rows], "vector": list(weights.astype(np.float32))})
-    return spark.createDataFrame(pdf, "word_id int, word string, vector array<float>")
+    flat = pa.array(weights.astype(np.float32).ravel())
+    made = pa.table({"word_id": pa.array(np.arange(n), pa.int32()), "word": pa.array([r.word for r in rows], pa.string()), "vector": pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * size, pa.int32()), flat)})
+    return spark.createDataFrame(made)
