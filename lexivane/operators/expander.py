@@ -33,7 +33,7 @@ def search(df: DataFrame, match_columns: str, query: str, expander=None, normali
         for w in words:
             w = w.lower() if low else w
             if df.schema[c].dataType.simpleString() == "array<string>":
-                found = found | F.exists(F.col(c), lambda x, w=w: (F.lower(x) if low else x) == F.lit(w))
+                found = found | F.array_contains(F.transform(F.col(c), F.lower) if low else F.col(c), w)
             else:
                 found = found | F.contains(F.lower(c) if low else F.col(c), F.lit(w))
     return df.filter(found)
