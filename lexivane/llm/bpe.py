@@ -28,18 +28,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexivane.llm.common import bounded_batches, free_name
+from lexivane.llm.common import bounded_batches, free_name, tidied
 
 LEAF = 64
 WINDOW = 4
-CACHE_WORDS = 150_000
+CACHE_WORDS = 120_000
 LONG_WORD = 64
 
 
 class TreeBpe:
     """Encoder and decoder for one vocabulary file of the tokenizers library."""
 
-    def __init__(self, path: str, leaf: int = LEAF, window: int = WINDOW):
+    def __init__(self, path: str, leaf: int = LEAF, window: int = WINDOW, tree: bool = True):
+        """tree=False leaves whole pre-tokens, however long, to the library's own model."""
         from tokenizers import Tokenizer
         from tokenizers.models import BPE
 
@@ -75,7 +76,8 @@ class TreeBpe:
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.id_bytes = {i: i.to_bytes(4, "little") for i in self.strings}
-        self.tokenize = self.engine.model.tokenize
+        self.tree = tree
+        self.tokenize = self.engine.model.tokenize if tree else library.model.tokenize
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printable]
         self.byte_symbols = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
@@ -120,16 +122,22 @@ class TreeBpe:
 
     def pieces(self, run: str) -> list[str]:
         """Pre-tokens of a run without special tokens, as strings of symbols."""
-        if run and run.isprintable() and max(run) < "\u0250" and "\u0130" not in run:
-            # Below U+0250 every character is its own NFC form, and the classes of letters and numbers are settled.
-            found = self.latin.findall(run.lower())
-            return found if run.isascii() else [x.encode().decode("latin-1").translate(self.byte_symbols) for x in found]
+        if run.isprintable():
+            # Every Latin-1 character is its own NFC form, and the classes of letters and numbers are settled there.
+            try:
+                run.encode("latin-1")
+            except UnicodeEncodeError:
+                pass
+            else:
+                low = run.lower()
+                found = (low,) if low.isalpha() else self.latin.findall(low)
+                return found if run.isascii() else [x.encode().decode("latin-1").translate(self.byte_symbols) for x in found]
         text = self.normalizer.normalize_str(run) if self.normalizer else run
         return [x for x, _ in self.pre_tokenizer.pre_tokenize_str(text) if x]
 
     def _piece(self, piece: str) -> bytes:
-        symbols = piece[:-1] + self.ending.get(piece[-1], piece[-1] + self.suffix) if self.suffix else piece
-        if len(symbols) > self.leaf:
+        symbols = piece[:-1] + self.ending.get(piece[-1], piece[-1] + self.suffix) if self.suffix and self.tree else piece
+        if len(symbols) > self.leaf and self.tree:
             return np.array(self.encode_symbols(symbols), dtype=np.int32).tobytes()
         as_bytes = self.id_bytes
         ids = self.parts[piece] = b"".join([as_bytes[t.id] for t in self.tokenize(symbols)])
@@ -138,9 +146,13 @@ class TreeBpe:
     def word(self, run: str) -> bytes:
         """Ids of one run, as 32-bit integers in bytes."""
         get = self.parts.get
-        if run.isascii() and run.isalpha():
+        if run.isascii():
             piece = run.lower()
-            return get(piece) or self._piece(piece)
+            if piece.isalpha():
+                return get(piece) or self._piece(piece)
+            core, mark = piece[:-1], piece[-1:]
+            if core.isalpha() and mark in ".,;:!?":  # a word and its punctuation
+                return (get(core) or self._piece(core)) + (get(mark) or self._piece(mark))
         out = []
         for p in self.cut_special.split(run) if self.cut_special and self.cut_special.search(run) else (run,):
             if p in self.special:
@@ -185,7 +197,7 @@ def encode_by_runs(texts: pa.Array, known: dict[str, bytes], encode_runs) -> pa.
     """
     split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
     coded = split.values.dictionary_encode()
-    runs = coded.dictionary.to_pylist()
+    runs = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # several times as fast as to_pylist()
     ids = list(map(known.get, runs))
     new = [i for i, x in enumerate(ids) if x is None]
     if len(known) + len(new) > CACHE_WORDS:
@@ -204,20 +216,20 @@ def encode_by_runs(texts: pa.Array, known: dict[str, bytes], encode_runs) -> pa.
     return pa.ListArray.from_arrays(pa.array((at - at[0]).astype(np.int32)), laid.values.slice(at[0], at[-1] - at[0]))
 
 
-_coders: dict[str, TreeBpe] = {}
+_coders: dict[tuple[str, bool], TreeBpe] = {}
 
 
-def coder(path: str) -> TreeBpe:
-    if path not in _coders:
-        _coders[path] = TreeBpe(path)
-    return _coders[path]
+def coder(path: str, tree: bool = True) -> TreeBpe:
+    if (path, tree) not in _coders:
+        _coders[path, tree] = TreeBpe(path, tree=tree)
+    return _coders[path, tree]
 
 
 def _with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, name])
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 2_000_000):
+def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000):
     """Parts of a batch of about so many bytes of text each, a row at least."""
     col = batch.column(batch.schema.get_field_index(column))
     if not len(col):
@@ -252,7 +264,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids
                 out = _with_column(batch, ids_col, ids)
                 yield _with_column(out, decoded_col, c.decode_batch(ids)) if decoded_col else out
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidied(run), schema)
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
@@ -273,7 +285,7 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", decoded_col: str = "d
                 yield _with_column(part, decoded_col, c.decode_batch(pc.fill_null(col.slice(at, n), [])))
                 at += n
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidied(run), schema)
 
 
 def digests(df: DataFrame, ids_col: str = "ids", decoded_col: str = "decoded") -> list:

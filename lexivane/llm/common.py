@@ -61,6 +61,31 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+def tidy() -> None:
+    """Give memory that a task has freed back to the system: Python workers live on for other tasks."""
+    import ctypes
+
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+def tidied(run):
+    """A function of an iterator of batches that tidies when it has ended."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            tidy()
+
+    return whole
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

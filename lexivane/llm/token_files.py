@@ -1,7 +1,7 @@
 """Token-ID files with a minimal perfect hash index.
 
-Documents are dealt and sorted by key, encoded with the tokenizers library (each distinct
-whitespace-free run of a batch once), and packed into shards of a bounded size that
+Documents are dealt and sorted by key, encoded with the tokenizers library (its
+normalizer, pre-tokenizer and model, each distinct whitespace-free run of a batch once), and packed into shards of a bounded size that
 Spark's own writer commits, one file each, in whatever file system the path names. A
 shard holds, little-endian:
 
@@ -35,12 +35,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexivane.llm.bpe import encode_by_runs, slices
-from lexivane.llm.common import bounded_batches, shuffles_end_with_their_query
+from lexivane.llm.bpe import coder, slices
+from lexivane.llm.common import bounded_batches, materialize, shuffles_end_with_their_query, tidied
 
 MAGIC = b"LXVIDS01"
 HEAD = struct.Struct("<8sIIQQII")
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 4 << 20  # of ids; a shard is held a few times over in a task, so raise it with the executors' memory
 SHARD_DOCS = 1 << 16
 GAMMA = 2.0
 
@@ -109,9 +109,11 @@ def pack(partition: int, sequence: int, keys: np.ndarray, null: np.ndarray, leng
     parts = [HEAD.pack(MAGIC, partition, sequence, n, len(ids), width, len(index.levels)), np.array([len(x) for x in index.levels], np.uint64).tobytes()]
     parts += [np.packbits(x, bitorder="little").tobytes() for x in index.levels]
     parts += [prints.tobytes(), at.tobytes(), size.tobytes(), keys.astype(np.int64).tobytes(), null.astype(np.uint8).tobytes(), occurrence.tobytes()]
-    parts.append(ids.astype(np.uint16 if width == 2 else np.uint32).tobytes())
-    data = b"".join(parts)
-    return data + struct.pack("<I", zlib.crc32(data))
+    parts.append(memoryview(np.ascontiguousarray(ids, dtype=np.uint16 if width == 2 else np.uint32)).cast("B"))
+    crc = 0
+    for p in parts:
+        crc = zlib.crc32(p, crc)
+    return b"".join([*parts, struct.pack("<I", crc)])
 
 
 class Shard:
@@ -147,22 +149,6 @@ class Shard:
 
 
 # ---- writing and reading by Spark -----------------------------------------------------
-_library: dict[str, tuple] = {}
-
-
-def _library_ids(path: str, texts: pa.Array) -> pa.ListArray:
-    """Ids by the tokenizers library. Its pre-tokenizer drops white space, so runs between spaces and line ends encode on their own."""
-    if path not in _library:
-        from tokenizers import Tokenizer
-
-        t = Tokenizer.from_file(path)
-        t.no_truncation()
-        t.no_padding()
-        _library[path] = (t, {})
-    t, known = _library[path]
-    return encode_by_runs(texts, known, lambda runs: [np.array(e.ids, np.int32).tobytes() for e in t.encode_batch_fast(runs, add_special_tokens=False)])
-
-
 def write(docs: DataFrame, out: str, tokenizer: str, key_col: str = "doc_id", text_col: str = "text", end_id: int | None = 1, vocab_size: int = 49408, shard_bytes: int = SHARD_BYTES) -> None:
     """Write the token ids of docs in ascending key order as shards under the folder out."""
     spark = docs.sparkSession
@@ -182,11 +168,11 @@ def write(docs: DataFrame, out: str, tokenizer: str, key_col: str = "doc_id", te
             keys, null, lengths, ids = (np.concatenate(x) for x in zip(*held))
             data = pack(partition, sequence, keys, null, lengths, ids, width)
             sequence, held, rows, size = sequence + 1, [], 0, 0
-            return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["data"])
+            return pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), 1, [None, pa.py_buffer(struct.pack("<2i", 0, len(data))), pa.py_buffer(data)])], names=["data"])
 
         for whole in batches:
-            for batch in slices(whole, "text", 1_000_000):
-                lists = _library_ids(tokenizer, batch.column(1))
+            for batch in slices(whole, "text", 6_000_000):
+                lists = coder(tokenizer, tree=False).encode_batch(batch.column(1))
                 ends, flat = np.asarray(lists.offsets).astype(np.int64), np.asarray(lists.values)
                 lengths = np.diff(ends)
                 if end_id is not None:
@@ -195,14 +181,14 @@ def write(docs: DataFrame, out: str, tokenizer: str, key_col: str = "doc_id", te
                 key = batch.column(0)
                 null = np.asarray(key.is_null()).astype(np.uint8)
                 keys = np.asarray(key.fill_null(0)).astype(np.int64)
-                held.append((keys, null, lengths, flat))
+                held.append((keys, null, lengths, flat.astype(np.uint16 if width == 2 else np.uint32)))
                 rows, size = rows + len(keys), size + width * len(flat)
                 if size >= shard_bytes or rows >= SHARD_DOCS:
                     yield flush()
         if held:
             yield flush()
 
-    files = dealt.mapInArrow(run, "data binary").select(F.col("data").cast("string").alias("value"))
+    files = dealt.mapInArrow(tidied(run), "data binary").select(F.col("data").cast("string").alias("value"))
     with shuffles_end_with_their_query(spark):
         files.write.option("maxRecordsPerFile", 1).option("lineSep", "\n").text(out)
 
@@ -223,8 +209,13 @@ def manifest(spark: SparkSession, out: str) -> DataFrame:
             yield pd.DataFrame(rows, columns=["path", "partition", "sequence", "n_docs", "n_ids", "first_key", "last_key"]).astype({"first_key": "Int64", "last_key": "Int64"})
 
     found = _files(spark, out).select("path", "content").mapInPandas(run, "path string, partition long, sequence long, n_docs long, n_ids long, first_key long, last_key long")
+    return _with_starts(found)
+
+
+def _with_starts(shards: DataFrame) -> DataFrame:
+    """A row per shard (megabytes each), so the running sum over all of them is small."""
     before = Window.orderBy("partition", "sequence").rowsBetween(Window.unboundedPreceding, -1)
-    return found.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
+    return shards.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
 def read(spark: SparkSession, out: str, with_ids: bool = False) -> DataFrame:
@@ -248,8 +239,13 @@ def read(spark: SparkSession, out: str, with_ids: bool = False) -> DataFrame:
 
     schema = "doc_id long, partition long, sequence long, at long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
     bounded_batches(spark)
-    rows = _files(spark, out).select("content").mapInArrow(run, schema)
-    starts = manifest(spark, out).select("partition", "sequence", "start")
+    rows = _files(spark, out).select("content").mapInArrow(tidied(run), schema)
+    if not with_ids:
+        rows = materialize(rows, "read")  # slim; the files are read once
+        shards = rows.groupBy("partition", "sequence").agg(F.sum("n_tokens").alias("n_ids"))
+        starts = _with_starts(shards).select("partition", "sequence", "start")
+    else:
+        starts = manifest(spark, out).select("partition", "sequence", "start")
     joined = rows.join(starts, ["partition", "sequence"])
     return joined.select("doc_id", (F.col("start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))
 
