@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexivane.llm.common import bounded_batches, materialize
+from lexivane.llm.common import bounded_batches, materialize, tidied
 from lexivane.llm.neardup import connected
 
 COSINE = 0.95
@@ -129,7 +129,7 @@ def signatures(vectors: DataFrame, key_col: str, vector_col: str, depth: int, ta
             nodes = [None if x is None else hashlib.blake2b(x, digest_size=16).digest() for x in data]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.binary()), pa.array(data, pa.binary()), pa.array(buckets, pa.list_(pa.int64()))], names=["vec_id", "node", "unit", "buckets"])
 
-    return slim.mapInArrow(run, "vec_id long, node binary, unit binary, buckets array<long>")
+    return slim.mapInArrow(tidied(run), "vec_id long, node binary, unit binary, buckets array<long>")
 
 
 def _first_met(bucket: int, lists: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:

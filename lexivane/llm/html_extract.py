@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from lexivane.llm.bpe import slices
-from lexivane.llm.common import bounded_batches, free_name
+from lexivane.llm.common import bounded_batches, free_name, tidied
 from lexivane.llm.html_blocks import Block, blocks
 from lexivane.llm.quality import _fit_chain
 
@@ -318,8 +318,8 @@ def extract(pages: DataFrame, html_col: str = "html", text_col: str = "text", ch
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, html_col):
+            for batch in slices(whole, html_col, 1_000_000):
                 found = ["\n\n".join(model.main_blocks(h)) for h in batch.column(batch.schema.get_field_index(html_col)).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string()), pa.array([len(x) for x in found], pa.int64())], names=[*batch.schema.names, text_col, chars_col])
 
-    return pages.mapInArrow(run, schema)
+    return pages.mapInArrow(tidied(run), schema)

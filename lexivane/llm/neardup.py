@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexivane.llm.bpe import slices
-from lexivane.llm.common import bounded_batches, free_name, materialize
+from lexivane.llm.common import bounded_batches, free_name, materialize, tidied
 from lexivane.llm.shingles import WORDS, bands, shingle_sets, sketches
 
 PERCENT = 85
@@ -53,7 +53,7 @@ def signatures(docs: DataFrame, key_col: str, text_col: str, words: int, bins: i
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 1_000_000):
                 sets = shingle_sets(batch.column(1), words)
                 marks = bands(sketches(sets, bins), n_bands)
                 some = np.array([len(s) > 0 for s in sets])
@@ -62,7 +62,7 @@ def signatures(docs: DataFrame, key_col: str, text_col: str, words: int, bins: i
                 lists = pa.ListArray.from_arrays(pa.array(ends), flat)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_set_id(s) for s in sets], pa.binary()), lists], names=["doc_id", "n_shingles", "node", "bands"])
 
-    return slim.mapInArrow(run, "doc_id long, n_shingles long, node binary, bands array<long>")
+    return slim.mapInArrow(tidied(run), "doc_id long, n_shingles long, node binary, bands array<long>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, key_col: str, text_col: str, words: int) -> DataFrame:
@@ -78,7 +78,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, key_col: str, text_col: str, w
                 flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([_set_id(s) for s in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["node", "shingles"])
 
-    found = texts.mapInArrow(run, "node binary, shingles array<long>")
+    found = texts.mapInArrow(tidied(run), "node binary, shingles array<long>")
     return found.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -203,10 +203,10 @@ def deduplicate(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text"
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "t"):
+            for batch in slices(whole, "t", 1_000_000):
                 ids = pa.array([_set_id(s) for s in shingle_sets(batch.column(2), words)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ids], names=[own, "k", "node"])
 
-    rows = alone.mapInArrow(run, schema)
+    rows = alone.mapInArrow(tidied(run), schema)
     full = rows.filter("node is not null").join(kept.filter("node is not null"), (rows["k"].eqNullSafe(kept["k"])) & (rows["node"] == kept["node"])).select(own, rows["k"], rows["node"]).dropDuplicates(["k", "node"])
     return full.select(own).union(rows.filter("node is null").select(own)).select(f"{own}.*")

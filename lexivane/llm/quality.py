@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexivane.llm.bpe import slices
-from lexivane.llm.common import bounded_batches, free_name
+from lexivane.llm.common import bounded_batches, free_name, tidied
 from lexivane.llm.shingles import word_hashes
 from lexivane.llm.toxicity import logistic
 
@@ -260,11 +260,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, text_col):
+            for batch in slices(whole, text_col, 1_000_000):
                 found = model.scores(batch.column(batch.schema.get_field_index(text_col)))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, score_col])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidied(run), schema)
 
 
 def label_lines(docs: DataFrame, model: Model, key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -275,11 +275,11 @@ def label_lines(docs: DataFrame, model: Model, key_col: str = "doc_id", text_col
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 1_000_000):
                 lines, at = lines_of(batch.column(1))
                 m = model.marginals(batch.column(1))[0] if model.weights is not None else np.full(len(lines), model.prior)
                 owner = np.repeat(np.arange(len(batch)), np.diff(at))
                 number = np.arange(len(lines)) - at[:-1][owner]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(number), lines, pa.array(m), pa.array((m >= 0.5).astype(np.int32))], names=["key", "line_no", "line", "marginal", "label"])
 
-    return slim.mapInArrow(run, f"key {key}, line_no long, line string, marginal double, label int")
+    return slim.mapInArrow(tidied(run), f"key {key}, line_no long, line string, marginal double, label int")

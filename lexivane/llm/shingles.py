@@ -9,8 +9,7 @@ import pyarrow.compute as pc
 WORDS = 5
 SPACES = (32, 9, 10, 11, 12, 13)
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_ROOT = 0x5851F42D4C957F2D  # odd, so its powers can be undone modulo 2^64
+_ROOT = 0x5851F42D4C957F2D
 
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -27,20 +26,39 @@ _LETTER[65:91] = _LETTER[97:123]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[list(SPACES)] = True
 
+BLOCK = 1 << 20
+
 _powers = np.ones(1, dtype=np.uint64)
-_inverses = np.ones(1, dtype=np.uint64)
 
 
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _powers, _inverses
-    if len(_powers) < n:
-        size = max(n, 1 << 16)
+def _powers_to(n: int) -> np.ndarray:
+    """Powers of the root, as many as the longest word has bytes; long tables aren't kept."""
+    global _powers
+    if len(_powers) >= n:
+        return _powers[:n]
+    x = np.full(max(n, 1 << 12), _ROOT, dtype=np.uint64)
+    x[0] = 1
+    with np.errstate(over="ignore"):
+        x = np.multiply.accumulate(x)
+    if len(x) <= 1 << 16:
+        _powers = x
+    return x[:n]
+
+
+def _hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomial hash of each word, in blocks of about BLOCK bytes, so that memory stays small next to the text."""
+    out, at = np.empty(len(starts), np.uint64), 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + BLOCK, "right")))
+        s, e = starts[at:to] - starts[at], ends[at:to] - starts[at]
+        sizes = e - s
+        first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        inside = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
+        letters = data[np.repeat(starts[at:to], sizes) + inside]
         with np.errstate(over="ignore"):
-            for name, root in (("_powers", _ROOT), ("_inverses", pow(_ROOT, -1, 1 << 64))):
-                x = np.full(size, root, dtype=np.uint64)
-                x[0] = 1
-                globals()[name] = np.multiply.accumulate(x)
-    return _powers[:n], _inverses[:n]
+            out[at:to] = np.add.reduceat(_LETTER[letters] * _powers_to(int(sizes.max()))[inside], first)
+        at = to
+    return out
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -62,16 +80,15 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     edges = edges[edges < len(data)]
     first[edges] = inside[edges]
     starts = np.flatnonzero(first)
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(n + 1, np.int64)
     last = inside.copy()
     last[:-1] &= ~inside[1:]
     edges = offsets[1:-1]
     edges = edges[edges > 0] - 1
     last[edges] = inside[edges]
     ends = np.flatnonzero(last) + 1
-    powers, inverses = _tables(len(data))
-    with np.errstate(over="ignore"):
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_LETTER[data] * powers, dtype=np.uint64)])
-        h = (sums[ends] - sums[starts]) * inverses[starts]
+    h = _hash_words(data, starts, ends)
     return mix(h, 1), np.searchsorted(starts, offsets).astype(np.int64)
 
 
