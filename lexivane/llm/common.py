@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextvars
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -36,6 +37,32 @@ def shuffles_end_with_their_query(spark: SparkSession):
         spark.conf.unset(CLEANUP) if old is None else spark.conf.set(CLEANUP, old)
 
 
+_made: contextvars.ContextVar[list | None] = contextvars.ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables that are materialized within it are deleted when it ends, but for those handed to the function that it gives; nothing that is read later may depend on the others."""
+    made: list[str] = []
+    token = _made.set(made)
+    kept: set[str] = set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df.work_path)
+        return df
+
+    try:
+        yield keep
+    finally:
+        _made.reset(token)
+        outer = _made.get()
+        for path in made:
+            if path not in kept:
+                remove_path(spark, path.rsplit("/", 1)[0])
+            elif outer is not None:
+                outer.append(path)
+
+
 def materialize(df: DataFrame, name: str = "step", partition_by: list[str] | None = None) -> DataFrame:
     """Write df as Parquet into the shared folder and read it again: cuts lineage, survives lost executors."""
     spark = df.sparkSession
@@ -45,7 +72,11 @@ def materialize(df: DataFrame, name: str = "step", partition_by: list[str] | Non
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.work_path = path
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return out
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

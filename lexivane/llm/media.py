@@ -2,10 +2,9 @@
 
 A payload is kept as 8-bit mono samples in a WAV container. Its bytes are cut where a
 rolling gear hash of the last 32 bytes meets a mask, so equal passages give equal chunks
-wherever they lie. Chunks are named by their SHA-256; the store holds each digest once
+wherever they lie. Chunks and media are named by the first 16 bytes of their SHA-256; the store holds each digest once
 (a distinct by digest) and a recipe holds each payload's ordered chunk list.
-Reconstruction joins recipes with the store, checks every chunk's digest and the whole
-payload's, and computes features from what was read back.
+Reconstruction joins recipes with the store, checks the whole media's digest, and computes features from what was read back.
 
 Distinct payloads are told apart by the SHA-256 of their bytes: copies share one recipe
 and are reconstructed once, however many there are.
@@ -29,14 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexivane.llm.bpe import slices
-from lexivane.llm.common import bounded_batches, materialize, shuffles_end_with_their_query, work_path
+from lexivane.llm.common import bounded_batches, materialize, scratch, shuffles_end_with_their_query, tidied, work_path
 
 UNIT = 64
 RATE = 8000
-MIN_CHUNK, MAX_CHUNK = 1 << 10, 1 << 16
-MASK = np.uint32(((1 << 12) - 1) << 20)
+MIN_CHUNK, MAX_CHUNK = 1 << 11, 1 << 16
+MASK = np.uint32(((1 << 13) - 1) << 19)
 STEPS = 5
-LEVEL = 6
+LEVEL = 19
+NAME_BYTES = 16
 HOT_USES, SALTS = 2000, 32
 
 
@@ -64,6 +64,10 @@ def samples_of(media: bytes) -> bytes:
     return media[44:]
 
 
+def name_of(data: bytes) -> bytes:
+    return hashlib.sha256(data).digest()[:NAME_BYTES]
+
+
 def payload(data: bytes) -> bytes:
     return data + bytes(UNIT - len(data) % UNIT if len(data) % UNIT or not data else 0)
 
@@ -95,25 +99,25 @@ def cuts(data: bytes) -> list[int]:
 
 
 def recipes(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row per row of docs: doc_id, media (SHA-256 of its media), n_bytes (unpadded) and recipe, the ordered chunk list (digest, size)."""
+    """A row per row of docs: doc_id, media (the name of its media), n_bytes (unpadded) and recipe, the ordered chunk list (digest, size)."""
     bounded_batches(docs.sparkSession)
     slim = docs.select(F.col(key_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     item = pa.struct([("digest", pa.binary()), ("size", pa.int32())])
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 1_000_000):
                 names, sizes, lists = [], [], []
                 for text in batch.column(1):
                     raw = text.as_buffer().to_pybytes() if text.is_valid else b""
                     media = wav(payload(raw))
-                    names.append(hashlib.sha256(media).digest())
+                    names.append(name_of(media))
                     sizes.append(len(raw))
                     ends = cuts(media)
-                    lists.append([{"digest": hashlib.sha256(media[x:y]).digest(), "size": y - x} for x, y in zip([0, *ends], ends)])
+                    lists.append([{"digest": name_of(media[x:y]), "size": y - x} for x, y in zip([0, *ends], ends)])
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.binary()), pa.array(sizes, pa.int64()), pa.array(lists, pa.list_(item))], names=["doc_id", "media", "n_bytes", "recipe"])
 
-    return slim.mapInArrow(run, "doc_id long, media binary, n_bytes long, recipe array<struct<digest:binary,size:int>>")
+    return slim.mapInArrow(tidied(run), "doc_id long, media binary, n_bytes long, recipe array<struct<digest:binary,size:int>>")
 
 
 def chunks(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -124,18 +128,18 @@ def chunks(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def run(batches):
         pack = zstandard.ZstdCompressor(level=LEVEL).compress
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 1_000_000):
                 found = {}
                 for text in batch.column(0):
                     media, at = wav(payload(text.as_buffer().to_pybytes() if text.is_valid else b"")), 0
                     for end in cuts(media):
-                        digest = hashlib.sha256(media[at:end]).digest()
+                        digest = name_of(media[at:end])
                         if digest not in found:
                             found[digest] = pack(media[at:end])
                         at = end
                 yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.binary())], names=["digest", "data"])
 
-    return slim.mapInArrow(run, "digest binary, data binary")
+    return slim.mapInArrow(tidied(run), "digest binary, data binary")
 
 
 def store(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -155,14 +159,20 @@ def rebuild(held: DataFrame, kept: DataFrame) -> DataFrame:
     Chunks used by more than HOT_USES media are few; their uses are dealt over SALTS
     copies of them, so that no task gets all uses of one chunk.
     """
-    parts = held.select("media", "recipe").dropDuplicates(["media"]).select("media", F.posexplode("recipe").alias("seq", "part")).select("media", "seq", F.col("part.digest").alias("digest"))
+    parts = held.select("media", "recipe").dropDuplicates(["media"]).select("media", F.size("recipe").alias("n"), F.posexplode("recipe").alias("seq", "part")).select("media", "n", "seq", F.col("part.digest").alias("digest"))
     parts = materialize(parts, "parts")
     hot = materialize(parts.groupBy("digest").count().filter(F.col("count") > HOT_USES).select("digest"), "hot")
-    cool = parts.join(hot, "digest", "left_anti").join(kept, "digest")
-    salted = parts.join(hot, "digest", "left_semi").withColumn("salt", F.pmod(F.xxhash64("media"), F.lit(SALTS)))
-    copies = kept.join(hot, "digest", "left_semi").withColumn("salt", F.explode(F.array([F.lit(i).cast("long") for i in range(SALTS)])))
-    used = cool.select("media", "seq", "digest", "data").unionByName(salted.join(copies, ["digest", "salt"]).select("media", "seq", "digest", "data"))
-    whole = used.groupBy("media").agg(F.array_sort(F.collect_list(F.struct("seq", "digest", "data"))).alias("list"))
+
+    def with_data(wanted: DataFrame) -> DataFrame:
+        cool = wanted.join(hot, "digest", "left_anti").join(kept, "digest")
+        salted = wanted.join(hot, "digest", "left_semi").withColumn("salt", F.pmod(F.xxhash64("media"), F.lit(SALTS)))
+        copies = kept.join(hot, "digest", "left_semi").withColumn("salt", F.explode(F.array([F.lit(i).cast("long") for i in range(SALTS)])))
+        return cool.select("media", "seq", "data").unionByName(salted.join(copies, ["digest", "salt"]).select("media", "seq", "data"))
+
+    # A media of one chunk is whole as it leaves the join; only chunks of longer ones are brought together.
+    one = with_data(parts.filter("n = 1")).select("media", F.array(F.struct("seq", "data")).alias("list"))
+    more = with_data(parts.filter("n > 1")).groupBy("media").agg(F.array_sort(F.collect_list(F.struct("seq", "data"))).alias("list"))
+    whole = one.unionByName(more)
     schema = "media binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
     def run(batches):
@@ -172,13 +182,10 @@ def rebuild(held: DataFrame, kept: DataFrame) -> DataFrame:
             for name, chain in zip(batch.column(0), batch.column(1)):
                 data = []
                 for part in chain.values:
-                    piece = unpack(part["data"].as_py())
-                    if hashlib.sha256(piece).digest() != part["digest"].as_py():
-                        raise ValueError("a chunk is damaged")
-                    data.append(piece)
+                    data.append(unpack(part["data"].as_py()))
                 media = b"".join(data)
                 sha = hashlib.sha256(media)
-                if sha.digest() != name.as_py():
+                if sha.digest()[:NAME_BYTES] != name.as_py():
                     raise ValueError("a payload is damaged")
                 x = samples_of(media)
                 rows.append((name.as_py(), len(x), hashlib.sha256(x).hexdigest(), zlib.crc32(x[-UNIT:]), len(media), sha.hexdigest(), features(x)))
@@ -186,14 +193,15 @@ def rebuild(held: DataFrame, kept: DataFrame) -> DataFrame:
             cols = list(zip(*rows)) or [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[c.split()[0] for c in schema.split(", ")])
 
-    return whole.mapInArrow(run, schema)
+    return whole.mapInArrow(tidied(run), schema)
 
 
 def media_columns(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes and the read-back figures of each row of docs."""
     kept = store(docs, text_col)
     held = materialize(recipes(docs, key_col, text_col), "recipes")
-    found = materialize(rebuild(held, kept), "rebuilt")
+    with scratch(docs.sparkSession) as keep:
+        found = keep(materialize(rebuild(held, kept), "rebuilt"))
     return held.select("doc_id", "n_bytes", "media").join(found, "media").drop("media")
 
 
