@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexivane.llm.common import bounded_batches, materialize, tidied
+from lexivane.llm.common import bounded_batches, materialize, scratch, tidied
 from lexivane.llm.neardup import connected
 
 COSINE = 0.95
@@ -188,41 +188,43 @@ def block_links(rows: pd.DataFrame, cosine: float) -> tuple[np.ndarray, list[tup
 
 def components(vectors: DataFrame, key_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id and kept of each row of vectors."""
-    n = vectors.count()
-    depth, tables = shape_for(n)
-    signed = materialize(signatures(vectors, key_col, vector_col, depth, tables), "signed")
-    some = signed.filter("node is not null")
-    nodes = materialize(some.groupBy("node").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.max("unit").alias("unit"), F.max("buckets").alias("buckets")), "nodes")
-    spread = nodes.select("node", F.explode("buckets").alias("bucket"))
-    used = materialize(spread.groupBy("bucket").count().filter("count > 1").select("bucket", F.ceil(F.col("count") / BLOCK).cast("int").alias("k"), "count"), "buckets")
-    total = used.agg(F.sum(F.col("count") * F.col("k"))).head()[0] or 0
-    groups = max(1, int(total) // GROUP_ROWS)
-    block = F.pmod(F.xxhash64("node", "bucket"), F.col("k")).cast("int")
-    dealt = spread.join(used, "bucket").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    dealt = dealt.select("bucket", "node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("part"))
-    dealt = dealt.join(nodes.select("node", "copies", "unit", "buckets"), "node").withColumn("g", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(groups)))
-
-    def verify(pdf: pd.DataFrame) -> pd.DataFrame:
-        sums: dict[bytes, int] = {}
-        edges = []
-        for _, rows in pdf.groupby(["bucket", "i", "j"], sort=False):
-            if len(rows) < 2:
-                continue
-            found, forest = block_links(rows, cosine)
-            names = rows["node"].to_numpy()
-            for at in np.flatnonzero(found):
-                sums[names[at]] = sums.get(names[at], 0) + int(found[at])
-            edges += [(names[a], 0, names[b]) for a, b in forest]
-        return pd.DataFrame([(k, v, None) for k, v in sums.items()] + edges, columns=["node", "links", "other"])
-
-    found = materialize(dealt.groupBy("g").applyInPandas(verify, "node binary, links long, other binary"), "found")
-    links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    edges = found.filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
-    placed = nodes.select("node", "least", "copies")
-    labels = connected(edges).join(placed.select("node", "least"), "node")
-    roots = labels.groupBy("label").agg(F.min("least").alias("component_id"))
-    known = labels.select("node", "label").join(roots, "label").select("node", "component_id")
-    facts = placed.join(links, "node", "left").join(known, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component_id", "least").alias("component_id"))
-    out = signed.select("vec_id", "node").join(materialize(facts, "facts"), "node", "left")
+    with scratch(vectors.sparkSession) as keep:
+        n = vectors.count()
+        depth, tables = shape_for(n)
+        signed = keep(materialize(signatures(vectors, key_col, vector_col, depth, tables), "signed"))
+        some = signed.filter("node is not null")
+        nodes = materialize(some.groupBy("node").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.max("unit").alias("unit"), F.max("buckets").alias("buckets")), "nodes")
+        spread = nodes.select("node", F.explode("buckets").alias("bucket"))
+        used = materialize(spread.groupBy("bucket").count().filter("count > 1").select("bucket", F.ceil(F.col("count") / BLOCK).cast("int").alias("k"), "count"), "buckets")
+        total = used.agg(F.sum(F.col("count") * F.col("k"))).head()[0] or 0
+        groups = max(1, int(total) // GROUP_ROWS)
+        block = F.pmod(F.xxhash64("node", "bucket"), F.col("k")).cast("int")
+        dealt = spread.join(used, "bucket").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+        dealt = dealt.select("bucket", "node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("part"))
+        dealt = dealt.join(nodes.select("node", "copies", "unit", "buckets"), "node").withColumn("g", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(groups)))
+
+        def verify(pdf: pd.DataFrame) -> pd.DataFrame:
+            sums: dict[bytes, int] = {}
+            edges = []
+            for _, rows in pdf.groupby(["bucket", "i", "j"], sort=False):
+                if len(rows) < 2:
+                    continue
+                found, forest = block_links(rows, cosine)
+                names = rows["node"].to_numpy()
+                for at in np.flatnonzero(found):
+                    sums[names[at]] = sums.get(names[at], 0) + int(found[at])
+                edges += [(names[a], 0, names[b]) for a, b in forest]
+            return pd.DataFrame([(k, v, None) for k, v in sums.items()] + edges, columns=["node", "links", "other"])
+
+        found = materialize(dealt.groupBy("g").applyInPandas(verify, "node binary, links long, other binary"), "found")
+        links = found.groupBy("node").agg(F.sum("links").alias("links"))
+        edges = found.filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
+        placed = nodes.select("node", "least", "copies")
+        labels = connected(edges).join(placed.select("node", "least"), "node")
+        roots = labels.groupBy("label").agg(F.min("least").alias("component_id"))
+        known = labels.select("node", "label").join(roots, "label").select("node", "component_id")
+        facts = placed.join(links, "node", "left").join(known, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component_id", "least").alias("component_id"))
+        facts = keep(materialize(facts, "facts"))
+    out = signed.select("vec_id", "node").join(facts, "node", "left")
     own = F.when(F.col("node").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), own.alias("component_id"), F.col("vec_id").eqNullSafe(own).alias("kept"))

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexivane.llm.common import materialize, words
+from lexivane.llm.common import materialize, scratch, words
 
 CAP = 3.0
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -69,13 +69,14 @@ def copies(docs: DataFrame, key_col: str = "doc_id", source_col: str = "source",
     """doc_id, source, size, tie (a hash of the row), source_size, target and n_copies of each document: a slim table without texts."""
     spark = docs.sparkSession
     slim = docs.select(F.col(key_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.size(words(F.col(text_col))).cast("long").alias("size"), row_hash(docs).alias("tie"))
-    slim = materialize(slim, "sizes")  # texts are read and split once
-    n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("doc_id"), F.col("tie")]
-    # The id that Spark counts up within a partition gives a row's place in it: high bits partition, low 33 bits place.
-    dealt = slim.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
-    dealt = materialize(dealt.select("*", F.shiftright("_id", 33).cast("int").alias("part"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("place")).drop("_id"), "dealt")
-    counts = materialize(dealt.groupBy("part", "source").agg(F.count("*").alias("n"), F.sum("size").alias("words"), F.min("place").alias("first")), "counts")
+    with scratch(spark) as keep:
+        slim = materialize(slim, "sizes")  # texts are read and split once
+        n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+        order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("doc_id"), F.col("tie")]
+        # The id that Spark counts up within a partition gives a row's place in it: high bits partition, low 33 bits place.
+        dealt = slim.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+        dealt = keep(materialize(dealt.select("*", F.shiftright("_id", 33).cast("int").alias("part"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("place")).drop("_id"), "dealt"))
+        counts = keep(materialize(dealt.groupBy("part", "source").agg(F.count("*").alias("n"), F.sum("size").alias("words"), F.min("place").alias("first")), "counts"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     goal = targets(counts.groupBy("source").agg(F.sum("n").alias("n_docs"), F.sum("words").cast("long").alias("source_size")), "source", weights, cap, share)
     c, g = counts.withColumn("before", before).alias("c"), goal.alias("g")

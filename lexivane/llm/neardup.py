@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexivane.llm.bpe import slices
-from lexivane.llm.common import bounded_batches, free_name, materialize, tidied
+from lexivane.llm.common import bounded_batches, free_name, materialize, scratch, tidied
 from lexivane.llm.shingles import WORDS, bands, shingle_sets, sketches
 
 PERCENT = 85
@@ -143,48 +143,49 @@ def connected(links: DataFrame) -> DataFrame:
 
 def components(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, words: int = WORDS, bins: int = BINS, n_bands: int = BANDS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and node of each row of docs."""
-    signed = materialize(signatures(docs, key_col, text_col, words, bins, n_bands), "signed")
-    some = signed.filter("node is not null")
-    # Copies: one row per distinct set. All that is aggregated besides the key is alike in equal sets.
-    nodes = materialize(some.groupBy("node").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("n"), F.max("bands").alias("bands")), "nodes")
-    spread = materialize(nodes.select("node", "n", F.explode("bands").alias("bucket")), "buckets")
-    pivots = spread.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("p"), F.count("*").alias("m")).filter("m > 1").select("bucket", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"))
-    shared = materialize(spread.join(pivots, "bucket"), "shared")
-    wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi").select("node", "least")
-    sets = materialize(full_sets(docs, wanted, key_col, text_col, words), "sets")
-    near = (F.col("node") != F.col("pivot")) & (100 * F.least("n", "pn") >= percent * F.greatest("n", "pn"))
-    pairs = shared.filter(near).select("node", "pivot", "n", "pn").dropDuplicates(["node", "pivot"])
-    checked = pairs.join(sets.withColumnRenamed("shingles", "x"), "node").join(sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("y")), "pivot")
-    inter = F.size(F.array_intersect("x", "y")).cast("long")
-    links = materialize(checked.withColumn("i", inter).filter(linked(F.col("i"), F.col("n"), F.col("pn"), percent)).select(F.col("node").alias("a"), F.col("pivot").alias("b")), "starlinks")
-    labels = connected(links)
-
-    # Buckets that still hold several components; buckets of the same nodes are looked at once.
-    at = shared.select("bucket", "node", "n").join(labels, "node", "left").withColumn("component", F.coalesce("label", "node")).drop("label")
-    at = materialize(at, "placed")
-    h = F.xxhash64("node").cast("decimal(38,0)")
-    mixed = at.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m"), F.sum(h).alias("h"), F.min("n").alias("least_n"), F.max("n").alias("most_n")).filter("lo != hi")
-    mixed = materialize(mixed.groupBy("h", "m").agg(F.min("bucket").alias("bucket")).select("bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("k")), "mixed")
-    if not mixed.isEmpty():
-        block = F.pmod(F.xxhash64("node", "bucket"), F.col("k")).cast("int")
-        dealt = at.join(mixed, "bucket").withColumn("block", block)
-        # A node goes to the pairs of its block with every block of the bucket.
-        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-        dealt = dealt.select("bucket", "node", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("part"))
-        dealt = dealt.join(sets, "node")
-
-        def verify(pdf: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame(bucket_links(pdf, percent), columns=["a", "b"])
-
-        more = dealt.groupBy("bucket", "i", "j").applyInPandas(verify, "a binary, b binary").distinct()
-        more = materialize(more, "morelinks")
-        if not more.isEmpty():
-            labels = connected(links.unionByName(more))
-    labels = labels.join(nodes.select("node", "least"), "node")
-    roots = labels.groupBy("label").agg(F.min("least").alias("component_id"))
-    known = materialize(labels.select("node", "label").join(roots, "label").select("node", "component_id"), "known")
-    alone = nodes.select("node", "least").join(known, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id"))
-    alone = materialize(alone, "ids")
+    with scratch(docs.sparkSession) as keep:
+        signed = keep(materialize(signatures(docs, key_col, text_col, words, bins, n_bands), "signed"))
+        some = signed.filter("node is not null")
+        # Copies: one row per distinct set. All that is aggregated besides the key is alike in equal sets.
+        nodes = materialize(some.groupBy("node").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("n"), F.max("bands").alias("bands")), "nodes")
+        spread = materialize(nodes.select("node", "n", F.explode("bands").alias("bucket")), "buckets")
+        pivots = spread.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("p"), F.count("*").alias("m")).filter("m > 1").select("bucket", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"))
+        shared = materialize(spread.join(pivots, "bucket"), "shared")
+        wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi").select("node", "least")
+        sets = materialize(full_sets(docs, wanted, key_col, text_col, words), "sets")
+        near = (F.col("node") != F.col("pivot")) & (100 * F.least("n", "pn") >= percent * F.greatest("n", "pn"))
+        pairs = shared.filter(near).select("node", "pivot", "n", "pn").dropDuplicates(["node", "pivot"])
+        checked = pairs.join(sets.withColumnRenamed("shingles", "x"), "node").join(sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("y")), "pivot")
+        inter = F.size(F.array_intersect("x", "y")).cast("long")
+        links = materialize(checked.withColumn("i", inter).filter(linked(F.col("i"), F.col("n"), F.col("pn"), percent)).select(F.col("node").alias("a"), F.col("pivot").alias("b")), "starlinks")
+        labels = connected(links)
+
+        # Buckets that still hold several components; buckets of the same nodes are looked at once.
+        at = shared.select("bucket", "node", "n").join(labels, "node", "left").withColumn("component", F.coalesce("label", "node")).drop("label")
+        at = materialize(at, "placed")
+        h = F.xxhash64("node").cast("decimal(38,0)")
+        mixed = at.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m"), F.sum(h).alias("h"), F.min("n").alias("least_n"), F.max("n").alias("most_n")).filter("lo != hi")
+        mixed = materialize(mixed.groupBy("h", "m").agg(F.min("bucket").alias("bucket")).select("bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("k")), "mixed")
+        if not mixed.isEmpty():
+            block = F.pmod(F.xxhash64("node", "bucket"), F.col("k")).cast("int")
+            dealt = at.join(mixed, "bucket").withColumn("block", block)
+            # A node goes to the pairs of its block with every block of the bucket.
+            dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+            dealt = dealt.select("bucket", "node", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("part"))
+            dealt = dealt.join(sets, "node")
+
+            def verify(pdf: pd.DataFrame) -> pd.DataFrame:
+                return pd.DataFrame(bucket_links(pdf, percent), columns=["a", "b"])
+
+            more = dealt.groupBy("bucket", "i", "j").applyInPandas(verify, "a binary, b binary").distinct()
+            more = materialize(more, "morelinks")
+            if not more.isEmpty():
+                labels = connected(links.unionByName(more))
+        labels = labels.join(nodes.select("node", "least"), "node")
+        roots = labels.groupBy("label").agg(F.min("least").alias("component_id"))
+        known = materialize(labels.select("node", "label").join(roots, "label").select("node", "component_id"), "known")
+        alone = nodes.select("node", "least").join(known, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id"))
+        alone = keep(materialize(alone, "ids"))
     out = signed.select("doc_id", "n_shingles", "node").join(alone, "node", "left")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"), "node")
@@ -195,7 +196,8 @@ def deduplicate(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text"
     found = components(docs, key_col, text_col, **options).filter("kept")
     names, own = docs.columns, free_name(docs, "lexivane_row")
     # Rows of one key can hold several texts, so rows are told apart by their set again.
-    kept = materialize(found.select(F.col("doc_id").alias("k"), "node").distinct(), "kept")
+    # Written before it is made distinct: a join that nothing is grouped on after can have its hot keys split.
+    kept = materialize(found.select(F.col("doc_id").alias("k"), "node"), "kept").distinct()
     alone = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias(own), F.col(key_col).cast("long").alias("k"), F.col(text_col).cast("string").alias("t"))
     words = int(options.get("words", WORDS))
     bounded_batches(docs.sparkSession)

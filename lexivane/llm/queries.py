@@ -15,8 +15,8 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def split_of(key, folds: int, held: int):
-    """True for rows of the fold that isn't learned from."""
-    return (F.crc32(key.cast("string")) % folds) == held
+    """True for rows of the fold that isn't learned from; rows without a key aren't either."""
+    return F.coalesce((F.crc32(key.cast("string")) % folds) == held, F.lit(True))
 
 
 def toxicity_model(spark, sf_dir):
