@@ -35,12 +35,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexivane.llm.bpe import slices
-from lexivane.llm.common import bounded_batches, free_name
+from lexivane.llm.common import bounded_batches, free_name, tidied
 
 MOST_TOXIC, MOST_ORDINARY, MOST_BYTES = 2000, 4000, 1 << 15
 DICTIONARY = 16384
-WINDOW, STRIDE, LEVEL = 8, 4, 6
+WINDOW, STRIDE = 8, 4
+#: Lazy search in binary trees, with tables sized for windows and dictionaries: steady lengths and little memory.
+SEARCH = {"strategy": zstd.STRATEGY_BTLAZY2, "window_log": 15, "hash_log": 15, "chain_log": 16, "search_log": 6, "min_match": 4, "target_length": 64}
 LONGEST = 64
+STARTS = (4, 5, 6)
 THRESHOLD = 0.3
 
 _words = re.compile(rb"[^\x20\x09-\x0D]{1,%d}" % LONGEST)
@@ -65,7 +68,7 @@ class Model:
 
     def open(self):
         """Compressors aren't sent to executors; each makes its own."""
-        params = zstd.ZstdCompressionParameters.from_level(LEVEL, format=zstd.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False)
+        params = zstd.ZstdCompressionParameters(**SEARCH, format=zstd.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False)
         made = []
         for content in (self.ordinary, self.toxic):
             d = zstd.ZstdCompressionDict(content, dict_type=zstd.DICT_TYPE_RAWCONTENT)
@@ -122,30 +125,37 @@ def _first_of_copies(texts: list[str]) -> list[str]:
     return out
 
 
+def _distinct(text: str) -> set[bytes]:
+    return {w.strip(b".,;:!?#%&$*|()[]\"'") for w in words_of(text)} - {b""}
+
+
 def train(toxic: list[str], ordinary: list[str], prior: float) -> Model:
     toxic, ordinary = _first_of_copies(toxic), _first_of_copies(ordinary)
     if len(toxic) < 4 or len(ordinary) < 4:
         return Model(prior=prior)
     cut_t, cut_o = len(toxic) * 2 // 3, len(ordinary) * 2 // 3
-    in_toxic, in_ordinary = Counter(), Counter()
-    for t in toxic[:cut_t]:
-        in_toxic.update({w.strip(b".,;:!?") for w in words_of(t)})
-    for t in ordinary[:cut_o]:
-        in_ordinary.update({w.strip(b".,;:!?") for w in words_of(t)})
-    strength = []
-    for w, n in in_toxic.items():
-        expected = cut_t * (in_ordinary[w] + 0.5) / (cut_o + 1)
-        z = (n - expected) / math.sqrt(expected + 1)
-        if w and n >= 2 and n > 8 * expected:
-            strength.append((z, n, w))
-    strength.sort(reverse=True)
-    # A chance word rarely stands out further than this among so many words; small fits keep their strongest.
-    least = 2.0 + math.sqrt(2 * math.log(max(2, len(in_toxic)))) if len(toxic) > 200 else math.inf
-    segments = [w for z, n, w in strength if z >= least]
-    for n_least in (3, 2):
-        if len(segments) < 10:
-            segments = [w for z, n, w in strength if n >= n_least]
-    segments = segments[: DICTIONARY // 4]
+    toxic_sets, ordinary_sets = [_distinct(t) for t in toxic[:cut_t]], [_distinct(t) for t in ordinary[:cut_o]]
+    toxic_words, ordinary_words = Counter(w for x in toxic_sets for w in x), Counter(w for x in ordinary_sets for w in x)
+
+    def standing_out(n: int, m: int) -> float:
+        """How far a count in toxic texts lies above what ordinary texts let expect, in standard deviations; 0 unless it is many times as frequent."""
+        expected = cut_t * (m + 0.5) / (cut_o + 1)
+        return (n - expected) / math.sqrt(expected + 1) if n > 8 * expected else 0.0
+
+    # Chance rarely lets one of so many words stand out further than this.
+    least = 1.5 + math.sqrt(2 * math.log(max(2, len(toxic_words))))
+    strong = {w: z for w, n in toxic_words.items() if (z := standing_out(n, ordinary_words[w])) >= least}
+    # A start of the other words that stands out brings the words that have it, however rare each is.
+    toxic_starts, ordinary_starts = (Counter(k for x in sets for k in {w[:n] for w in x if w not in strong for n in STARTS if len(w) > n}) for sets in (toxic_sets, ordinary_sets))
+    starts = {w: z for w, n in toxic_starts.items() if (z := standing_out(n, ordinary_starts[w])) >= least}
+    for w in toxic_words.keys() - strong.keys():
+        z = max((starts.get(w[:k], 0.0) for k in STARTS), default=0.0)
+        if z and not ordinary_words[w]:
+            strong[w] = z
+    if len(strong) < 5:  # too few texts for certainty: what is seen in several toxic texts and no ordinary one
+        strong = {w: float(n) for w, n in toxic_words.items() if n > 2 and not ordinary_words[w]} or {w: float(n) for w, n in toxic_words.items() if n > 1 and not ordinary_words[w]}
+    ranked = sorted(strong, key=lambda w: (strong[w], w), reverse=True)
+    segments = ranked[: int(np.searchsorted(np.cumsum([len(w) + 1 for w in ranked]), DICTIONARY))]
     samples = [w for t in ordinary[:cut_o] for w in windows(words_of(t))[:: WINDOW // STRIDE]]
     try:
         common = zstd.train_dictionary(DICTIONARY, samples[:: max(1, len(samples) // 60000)]).as_bytes()
@@ -188,9 +198,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
     def run(batches):
         pair = model.open() if model.weights else None
         for whole in batches:
-            for batch in slices(whole, text_col):
+            for batch in slices(whole, text_col, 1_000_000):
                 found = [model.score(t, pair) for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
                 cols = [pa.array([x[i] for x in found], pa.float64()) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names=[*batch.schema.names, score_col, distance_col])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidied(run), schema)
