@@ -12,9 +12,10 @@ for each partition and source it holds, plus one) are summed over partitions. No
 is gathered in one task.
 
 Defined results: null text has size 0; a null source is a source of its own, ordered
-last; documents of size 0 take no words whatever their copies, and their copies are made all the same; sources whose size is 0
-have target 0 and no copies; repeated rows are rows of their own; an empty table gives an
-empty result; other columns are kept, whatever their names.
+last; documents of size 0 take no words, though copies of them are made; sources whose
+size is 0 have target 0 and no copies; repeated rows are rows of their own; an empty table
+gives an empty result; other columns are kept, whatever their names. The sources (a row
+each) are ranked and summed in one task.
 """
 
 from __future__ import annotations
@@ -61,8 +62,8 @@ def targets(sizes: DataFrame, source_col: str = "source", weights=WEIGHTS, cap:
 
 
 def offset_of(source, seed: int):
-    """One offset in [0, 1) for a source, the same in every run."""
-    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(source, F.lit("")))), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
+    """One offset in [0, 1) for a source, the same in every run; of 20 bits, so that sums with ranks up to 2^31 and three times that are exact."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(source, F.lit("")))), 1, 5), 16, 10).cast("double") / F.lit(float(1 << 20))
 
 
 def copies(docs: DataFrame, key_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights=WEIGHTS, cap: float = CAP, share: float = 1.0, seed: int = SEED) -> DataFrame:

@@ -170,7 +170,7 @@ WITH d AS (
   SELECT (SELECT rate FROM q WHERE ratio >= rate ORDER BY ratio, source NULLS LAST LIMIT 1) AS final
 ), g AS (
   SELECT source, source_size, CASE WHEN final IS NULL OR ratio < final THEN most ELSE final * weight END::DOUBLE AS target,
-         ('0x' || substr(md5('20:' || coalesce(source, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
+         ('0x' || substr(md5('20:' || coalesce(source, '')), 1, 5))::BIGINT / 1048576.0::DOUBLE AS u
   FROM r, f
 ), k AS (
   SELECT d.doc_id, d.size, g.source_size, g.target, g.u,
