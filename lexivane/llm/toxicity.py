@@ -134,8 +134,7 @@ def train(toxic: list[str], ordinary: list[str], prior: float) -> Model:
     if len(toxic) < 4 or len(ordinary) < 4:
         return Model(prior=prior)
     cut_t, cut_o = len(toxic) * 2 // 3, len(ordinary) * 2 // 3
-    toxic_sets, ordinary_sets = [_distinct(t) for t in toxic[:cut_t]], [_distinct(t) for t in ordinary[:cut_o]]
-    toxic_words, ordinary_words = Counter(w for x in toxic_sets for w in x), Counter(w for x in ordinary_sets for w in x)
+    toxic_words, ordinary_words = (Counter(w for t in texts for w in _distinct(t)) for texts in (toxic[:cut_t], ordinary[:cut_o]))
 
     def standing_out(n: int, m: int) -> float:
         """How far a count in toxic texts lies above what ordinary texts let expect, in standard deviations; 0 unless it is many times as frequent."""
@@ -146,7 +145,7 @@ def train(toxic: list[str], ordinary: list[str], prior: float) -> Model:
     least = 1.5 + math.sqrt(2 * math.log(max(2, len(toxic_words))))
     strong = {w: z for w, n in toxic_words.items() if (z := standing_out(n, ordinary_words[w])) >= least}
     # A start of the other words that stands out brings the words that have it, however rare each is.
-    toxic_starts, ordinary_starts = (Counter(k for x in sets for k in {w[:n] for w in x if w not in strong for n in STARTS if len(w) > n}) for sets in (toxic_sets, ordinary_sets))
+    toxic_starts, ordinary_starts = (Counter(k for t in texts for k in {w[:n] for w in _distinct(t) if w not in strong for n in STARTS if len(w) > n}) for texts in (toxic[:cut_t], ordinary[:cut_o]))
     starts = {w: z for w, n in toxic_starts.items() if (z := standing_out(n, ordinary_starts[w])) >= least}
     for w in toxic_words.keys() - strong.keys():
         z = max((starts.get(w[:k], 0.0) for k in STARTS), default=0.0)
