@@ -64,8 +64,8 @@ def query_vector(model: DataFrame, terms: list[Term]) -> tuple[np.ndarray | None
     return q, sorted({found[t.word].word_id for t in terms}), np.array(found[terms[0].word].vector, dtype=np.float64)
 
 
-def candidates(model: DataFrame, query: np.ndarray, exclude: list[int], prefix_filter: str | None = None, stop_filter: str | None = None, threshold: float = -1, sentence_vectors: bool = False) -> DataFrame:
-    """word_id, word, vector and value of all words that qualify. Filters on words stand below the dot product and reach the scan."""
+def with_values(model: DataFrame, query: np.ndarray, exclude: list[int], prefix_filter: str | None = None, stop_filter: str | None = None, sentence_vectors: bool = False) -> DataFrame:
+    """word_id, word, vector and value (-2 for NaN) of the words that the filters keep. Filters on words stand below the dot product and reach the scan."""
     df = model.select("word_id", "word", "vector")
     prefix = "doc_id:" if sentence_vectors else prefix_filter
     if prefix:
@@ -75,16 +75,28 @@ def candidates(model: DataFrame, query: np.ndarray, exclude: list[int], prefix_f
     if stop_filter:
         re.compile(stop_filter)
         df = df.filter(~T.full_match(F.col("word"), stop_filter))
-    df = df.withColumn("value", V.similarity(F.col("vector"), query))
-    df = df.filter(~F.isnan("value") & (F.col("value") > -1))
-    return df.filter(F.col("value") >= threshold) if threshold > 0 else df
+    return df.withColumn("value", F.nanvl(V.similarity(F.col("vector"), query), F.lit(-2.0)))
+
+
+def qualifying(df: DataFrame, threshold: float = -1) -> DataFrame:
+    """Values above -1 and, if it is above 0, from the threshold on."""
+    return df.filter((F.col("value") > -1) & (F.col("value") >= threshold) if threshold > 0 else F.col("value") > -1)
+
+
+def candidates(model: DataFrame, query: np.ndarray, exclude: list[int], prefix_filter: str | None = None, stop_filter: str | None = None, threshold: float = -1, sentence_vectors: bool = False) -> DataFrame:
+    """All words that qualify, with their values."""
+    return qualifying(with_values(model, query, exclude, prefix_filter, stop_filter, sentence_vectors), threshold)
 
 
-def top(df: DataFrame, n_sort: int) -> DataFrame:
-    """The n best by value, ties by word_id; from FULL_N on all of them."""
+def best_of(df: DataFrame, n_sort: int, threshold: float = -1) -> DataFrame:
+    """The n best by value that qualify, ties by word_id; from FULL_N on all of them.
+
+    Whether a value qualifies is asked after the limit: the values that don't are the
+    least, and a filter below would have the dot product computed once more for each word.
+    """
     if n_sort < 0:
         n_sort = DEFAULT_N
-    return df.orderBy(F.desc("value"), "word_id").limit(n_sort) if n_sort < FULL_N else df
+    return qualifying(df.orderBy(F.desc("value"), "word_id").limit(n_sort) if n_sort < FULL_N else df, threshold)
 
 
 def shown(df: DataFrame, is_phrase: bool = False, output_filter: str | None = None) -> DataFrame:
@@ -113,7 +125,7 @@ def distance(model: DataFrame, term: str, offset: int = 0, limit: int = 10, n_so
     if query is None:
         empty = model.sparkSession.createDataFrame([], "_key string, _value double")
         return Result(empty, [F.desc("_value")], ["_key", "_value"], offset, limit, oov=True, expanded=term if expander_mode else None)
-    best = top(candidates(model, query, ids, prefix_filter, stop_filter, threshold, sentence_vectors), n_sort)
+    best = best_of(with_values(model, query, ids, prefix_filter, stop_filter, sentence_vectors), n_sort, threshold)
     if expander_mode:
         words = [r.word for r in shown(best, is_phrase, output_filter).orderBy(F.desc("value"), "word_id").offset(offset).limit(1 if compat else max(1, limit)).collect()]
         return Result(best, [F.desc("value")], ["word", "value"], offset, limit, expanded="(" + " OR ".join(f"({w})" for w in [text, *words]) + ")" if words else text)
