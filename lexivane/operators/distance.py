@@ -6,6 +6,7 @@ import re
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -155,43 +156,34 @@ def _sort_keys(text: str) -> list:
     return [F.desc(k[1:]) if k.startswith("-") else F.asc(k.lstrip("+")) for k in (x.strip() for x in text.split(",")) if k]
 
 
-def batch_topk(model: DataFrame, queries: DataFrame, k: int = 10, block: int = 1024) -> DataFrame:
+def batch_topk(model: DataFrame, queries: DataFrame, k: int = 10, rows: int = 1 << 16, block: int = 2048) -> DataFrame:
     """query_id, word_id, word, value, rank: the k nearest words of each query vector (query_id, vector).
 
-    Queries travel in blocks of a bounded number, each as one matrix; every task multiplies
-    its words with a block and passes on its k best per query, so what is shuffled is k rows
-    per query and task, not a row per pair.
+    A matrix product in blocks: words are dealt over the rows of a grid and queries over its
+    columns, each cell multiplies about `rows` words with about `block` queries and passes
+    on its k best per query. A task's memory is bounded by the cell, whatever the sizes.
     """
-    import pandas as pd
-
     spark = model.sparkSession
-    unit_q = queries.select("query_id", V.unit(F.col("vector")).alias("vector")).filter("vector is not null")
-    out = None
-    rows = unit_q.toLocalIterator()
-    while True:
-        part = [r for _, r in zip(range(block), rows)]
-        if not part:
-            break
-        names = np.array([r.query_id for r in part], dtype=np.int64)
-        matrix = spark.sparkContext.broadcast((names, np.array([r.vector for r in part]).T))
-
-        def run(frames, matrix=matrix):
-            names, q = matrix.value
-            best = None
-            for pdf in frames:
-                if not len(pdf):
-                    continue
-                m = np.array(pdf["vector"].tolist(), dtype=np.float64) @ q
-                n = min(k, len(pdf))
-                at = np.argpartition(-m, n - 1, axis=0)[:n]
-                flat = pd.DataFrame({"query_id": np.tile(names, n), "word_id": pdf["word_id"].to_numpy()[at].ravel(), "word": pdf["word"].to_numpy()[at].ravel(), "value": np.take_along_axis(m, at, 0).ravel()})
-                best = flat if best is None else pd.concat([best, flat]).sort_values(["query_id", "value", "word_id"], ascending=[True, False, True]).groupby("query_id", sort=False).head(k)
-            if best is not None:
-                yield best
-
-        found = model.select("word_id", "word", "vector").mapInPandas(run, "query_id long, word_id int, word string, value double")
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        return spark.createDataFrame([], "query_id long, word_id int, word string, value double, rank int")
+    unit_q = queries.select("query_id", V.unit(F.col("vector")).alias("q")).filter("q is not null")
+    across = max(1, -(-queries.count() // block))
+    down = max(spark.sparkContext.defaultParallelism // across, -(-model.count() // rows), 1)
+
+    def dealt(df: DataFrame, own: str, n: int, key: str, other: str, m: int) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
+        return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n)).cast("int")).withColumn(other, every)
+
+    words = dealt(model.select("word_id", "word", "vector"), "i", down, "word_id", "j", across)
+    asked = dealt(unit_q, "j", across, "query_id", "i", down)
+
+    def cell(w: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        if not len(w) or not len(q):
+            return pd.DataFrame({"query_id": np.zeros(0, np.int64), "word_id": np.zeros(0, np.int32), "word": np.zeros(0, object), "value": np.zeros(0)})
+        w = w.sort_values("word_id")
+        values = np.array(w["vector"].tolist(), dtype=np.float64) @ np.array(q["q"].tolist()).T
+        values = np.where(np.isnan(values), -2.0, values)
+        at = np.argsort(-values, axis=0, kind="stable")[: min(k, len(w))]
+        return pd.DataFrame({"query_id": np.tile(q["query_id"].to_numpy(), len(at)), "word_id": w["word_id"].to_numpy()[at].ravel(), "word": w["word"].to_numpy(dtype=object)[at].ravel(), "value": np.take_along_axis(values, at, 0).ravel()})
+
+    found = words.groupBy("i", "j").cogroup(asked.groupBy("i", "j")).applyInPandas(cell, "query_id long, word_id int, word string, value double")
     order = Window.partitionBy("query_id").orderBy(F.desc("value"), "word_id")
-    return out.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return found.filter("value > -2").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

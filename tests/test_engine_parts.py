@@ -122,3 +122,17 @@ def test_entry_point():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries()) and len(e.queries()) > 50
+
+
+def test_batch_topk_in_any_blocks(spark):
+    from lexivane.operators.distance import batch_topk
+
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=(200, 8))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    m = VectorModel.from_vectors(spark.createDataFrame([(i, f"w{i}", [float(y) for y in x]) for i, x in enumerate(v)], "word_id int, word string, vector array<float>"), 8).df.persist()
+    q = m.filter("word_id % 7 = 0").selectExpr("cast(word_id as long) as query_id", "vector")
+    want = {(i, j) for i in range(0, 200, 7) for j in np.argsort(-(v @ v[i]), kind="stable")[:3]}
+    for options in ({}, {"rows": 30, "block": 5}):
+        assert {(r.query_id, r.word_id) for r in batch_topk(m, q, 3, **options).collect()} == want
+    assert batch_topk(m, q.limit(0), 3).count() == 0 and batch_topk(m.limit(0), q, 3).count() == 0
