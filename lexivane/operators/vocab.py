@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexivane.operators.corpus import tokens_of
+from lexivane.operators.ranking import numbered
 
 END = "</s>"
 
@@ -20,8 +21,8 @@ def build_vocab(corpus: DataFrame, min_count: int = 5) -> DataFrame:
     """word_id, word, count: `</s>` is 0 and counts lines, then by count, ties by first appearance (doc_id, position)."""
     words = corpus.select("doc_id", F.posexplode(tokens_of(F.col("line"))).alias("pos", "word"))
     found = words.groupBy("word").agg(F.count("*").alias("count"), F.min(F.struct("doc_id", "pos")).alias("first")).filter((F.col("count") >= min_count) & (F.col("word") != END))
-    # One row per word of the vocabulary, not of the corpus, goes through the ranking.
-    ranked = found.select(F.row_number().over(Window.orderBy(F.desc("count"), "first")).cast("int").alias("word_id"), "word", "count")
+    order = [F.desc("count"), F.col("first.doc_id"), F.col("first.pos")]
+    ranked = numbered(found, order, "word_id").select(F.col("word_id").cast("int").alias("word_id"), "word", "count")
     end = corpus.agg(F.count("*").alias("count")).select(F.lit(0).alias("word_id"), F.lit(END).alias("word"), "count")
     return end.unionByName(ranked)
 

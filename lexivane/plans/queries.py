@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +15,7 @@ from lexivane.operators.seeded import initial_vectors
 from lexivane.operators.train import train
 from lexivane.operators.vocab import build_vocab, read_vocab, save_vocab, word_counts
 from lexivane.sources import model_io
+from lexivane.storage import work_dir
 
 DIGITS = 6
 
@@ -26,12 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def work_dir(spark: SparkSession) -> str:
-    """A folder in the shared one; spark.checkpoint.dir names that, only where it is unset is it ours."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
-    return f"{base.rstrip('/')}/lexivane/{uuid.uuid4().hex}"
-
-
 # ---- corpora ----------------------------------------------------------------------
 def _part_corpus(columns: str, **options):
     options.setdefault("normalizer", "lower")
