@@ -17,7 +17,7 @@ def cleaned(c: Column, spec: ColumnSpec, normalizer: str = "auto", input_filter:
     if input_filter:
         c = T.replaced_by_space(c, input_filter)
     if spec.strip_symbols:
-        c = T.replaced_by_space(c, T.SYMBOLS)
+        c = T.without_symbols(c)
     if spec.strip_letters:
         c = T.replaced_by_space(c, T.LETTERS)
     if spec.phrase:

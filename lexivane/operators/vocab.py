@@ -19,10 +19,11 @@ def word_counts(corpus: DataFrame, min_count: int = 5) -> DataFrame:
 
 def build_vocab(corpus: DataFrame, min_count: int = 5) -> DataFrame:
     """word_id, word, count: `</s>` is 0 and counts lines, then by count, ties by first appearance (doc_id, position)."""
-    words = corpus.select("doc_id", F.posexplode(tokens_of(F.col("line"))).alias("pos", "word"))
-    found = words.groupBy("word").agg(F.count("*").alias("count"), F.min(F.struct("doc_id", "pos")).alias("first")).filter((F.col("count") >= min_count) & (F.col("word") != END))
-    order = [F.desc("count"), F.col("first.doc_id"), F.col("first.pos")]
-    ranked = numbered(found, order, "word_id").select(F.col("word_id").cast("int").alias("word_id"), "word", "count")
+    # Document and position as one number, which hash aggregation can hold; a pair would have every token sorted.
+    row = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)")
+    words = corpus.select(row.alias("row"), F.posexplode(tokens_of(F.col("line"))).alias("pos", "word"))
+    found = words.groupBy("word").agg(F.count("*").alias("count"), F.min(F.col("row") + F.col("pos")).alias("first")).filter((F.col("count") >= min_count) & (F.col("word") != END))
+    ranked = numbered(found, [F.desc("count"), F.col("first")], "word_id").select(F.col("word_id").cast("int").alias("word_id"), "word", "count")
     end = corpus.agg(F.count("*").alias("count")).select(F.lit(0).alias("word_id"), F.lit(END).alias("word"), "count")
     return end.unionByName(ranked)
 
