@@ -101,7 +101,7 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
         terms = [h * (mix(np.array([k + 1], np.uint64), 5)[0] | np.uint64(1)) for k in range(words)]
         all_of = np.zeros(max(0, len(h) - words + 1), np.uint64)
         for k in range(words):
-            all_of += terms[k][k : len(h) - words + 1 + k]
+            all_of += terms[k][k : k + len(all_of)]
         all_of = mix(all_of, 2)
         out = []
         for a, b in zip(at[:-1].tolist(), at[1:].tolist()):

@@ -4,10 +4,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lexivane.llm import chat, embdup, mixing, neardup, shingles
+from lexivane.llm import bpe, chat, embdup, mixing, neardup, shingles
 
 
 def words_of(text):
@@ -98,6 +99,18 @@ def test_sketches_estimate_similarity():
     assert (s[0] != np.iinfo(np.uint64).max).all() and (s[1] == np.iinfo(np.uint64).max).all()
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6])
+def test_sets_of_a_few_words_alone(n):
+    short, long = " ".join(f"w{i}" for i in range(n)), "some more words of a long text " * 40_000
+    beside = shingles.shingle_sets(pa.array([short, "and a text of more words than that"]))[0]
+    for sets in (shingles.shingle_sets(pa.array([short])), shingles.shingle_sets(pa.array([None, short, ""]))[1:2]):
+        assert len(sets) == 1 and sets[0].tolist() == beside.tolist() and len(beside) == max(1, n - 4)
+    batch = pa.RecordBatch.from_arrays([pa.array([short, long])], names=["text"])
+    cut = list(bpe.slices(batch, "text", 1_000_000))
+    assert [c.num_rows for c in cut] == [1, 1]
+    assert shingles.shingle_sets(cut[0].column(0))[0].tolist() == beside.tolist()
+
+
 def brute_vectors(rows):
     ok = [v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v) and any(v) for _, v in rows]
     link = [[i != j and ok[i] and ok[j] and len(rows[i][1]) == len(rows[j][1]) and float(np.dot(rows[i][1], rows[j][1])) / np.sqrt(float(np.dot(rows[i][1], rows[i][1])) * float(np.dot(rows[j][1], rows[j][1]))) >= 0.95 for j in range(len(rows))] for i in range(len(rows))]
