@@ -18,6 +18,9 @@ from lexivane.llm.queries import quality_model, tokenizer_path, toxicity_model
 #: A document is rejected as toxic from this score on; the operator's query predicts from 0.3 on, here clean documents matter more.
 TOXIC_FROM = 0.5
 
+#: Near copies are linked from this Jaccard similarity of five-word shingles on, in percent; bands of 4 of the 256 coordinates miss such a pair with probability 2e-15.
+NEAR_PERCENT, NEAR_BANDS = 80, 64
+
 
 def drop_toxic(spark, docs, sf_dir):
     scored = toxicity.score(docs, toxicity_model(spark, sf_dir))
@@ -30,7 +33,7 @@ def keep_quality(spark, docs, sf_dir):
 
 
 def one_of_each_group(spark, docs, sf_dir):
-    return neardup.deduplicate(docs)
+    return neardup.deduplicate(docs, percent=NEAR_PERCENT, n_bands=NEAR_BANDS)
 
 
 def mix_sources(spark, docs, sf_dir):

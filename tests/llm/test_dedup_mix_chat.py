@@ -249,6 +249,21 @@ def test_native_plan(spark):
     assert "Python" not in plan and "Pandas" not in plan and plan.count("Exchange hashpartitioning") == 1
 
 
+def test_pipeline_links_from_80_percent(spark):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    rows = []
+    for i in range(40):  # n words in common at the start, of 120: Jaccard (n - 4) / (236 - n), 0.8125 and 0.785
+        for n in (108, 106):
+            w, key = [f"w{i}x{n}x{k}" for k in range(120)], len(rows)
+            rows += [(key, " ".join(w)), (key + 1, " ".join([*w[:n], *[f"e{x}" for x in w[n:]]]))]
+    sets = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for _, t in rows for w in [t.split()]]
+    near = [len(sets[a] & sets[a + 1]) / len(sets[a] | sets[a + 1]) for a in range(0, len(rows), 2)]
+    assert all(0.80 <= x < 0.85 for x in near[::2]) and all(x < 0.80 for x in near[1::2])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(r.doc_id for r in corpus_pipeline.one_of_each_group(spark, df, None).collect())
+    assert got == [k for k, _ in rows if k % 4 != 1]
+
+
 def test_pipeline_small(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     from lexivane.llm.common import table
