@@ -15,16 +15,13 @@ from lexivane.llm import bpe, mixing, neardup, quality, toxicity
 from lexivane.llm.common import materialize, table
 from lexivane.llm.queries import quality_model, tokenizer_path, toxicity_model
 
-#: A document is rejected as toxic from this score on; the operator's query predicts from 0.3 on, here clean documents matter more.
-TOXIC_FROM = 0.5
-
 #: Near copies are linked from this Jaccard similarity of five-word shingles on, in percent; bands of 4 of the 256 coordinates miss such a pair with probability 2e-15.
 NEAR_PERCENT, NEAR_BANDS = 80, 64
 
 
 def drop_toxic(spark, docs, sf_dir):
     scored = toxicity.score(docs, toxicity_model(spark, sf_dir))
-    return scored.filter(F.col(f"`{scored.columns[-2]}`") < TOXIC_FROM).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return scored.filter(F.col(f"`{scored.columns[-2]}`") < toxicity.THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def keep_quality(spark, docs, sf_dir):

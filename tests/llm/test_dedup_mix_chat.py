@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lexivane.llm import bpe, chat, embdup, mixing, neardup, shingles
+from lexivane.llm import bpe, chat, embdup, mixing, neardup, shingles, toxicity
 
 
 def words_of(text):
@@ -264,6 +264,14 @@ def test_pipeline_links_from_80_percent(spark):
     assert got == [k for k, _ in rows if k % 4 != 1]
 
 
+@pytest.mark.parametrize("score, left", [(0.4, 0), (0.31, 0), (0.29, 3)])
+def test_pipeline_rejects_what_the_query_predicts(spark, monkeypatch, score, left):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    monkeypatch.setattr(corpus_pipeline, "toxicity_model", lambda spark, d: toxicity.Model(prior=score))
+    df = spark.createDataFrame([(i, "some text") for i in range(3)], "doc_id long, text string")
+    assert corpus_pipeline.drop_toxic(spark, df, None).count() == left
+
+
 def test_pipeline_small(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     from lexivane.llm.common import table
