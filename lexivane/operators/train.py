@@ -28,6 +28,8 @@ from lexivane.operators.seeded import initial_vectors, vector_of
 from lexivane.operators.vocab import build_vocab
 
 THREADS = 12
+#: Longer lines count as this many words where it is judged whether training can begin.
+LONGEST_LINE = 1000
 
 
 @dataclass
@@ -127,7 +129,7 @@ def train(corpus: DataFrame, size: int = 100, window: int = 5, sample: float = 1
     facts = corpus.select(F.size(tokens_of(F.col("line"))).alias("n")).agg(F.sum("n").alias("words"), F.max("n").alias("longest")).head()
     words, longest = facts.words or 0, facts.longest or 0
     if mode == "auto":
-        idle = (not hs and not negative) or words / max(1, threads) < longest + 1
+        idle = (not hs and not negative) or words / max(1, threads) < min(longest, LONGEST_LINE) + 1
         mode = "init" if idle else "ml" if hs and not negative and not cbow and not sentence_vectors else "own"
     if mode == "init":
         vectors = initial_vectors(vocab, size, decimals)

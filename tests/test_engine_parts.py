@@ -136,3 +136,13 @@ def test_batch_topk_in_any_blocks(spark):
     for options in ({}, {"rows": 30, "block": 5}):
         assert {(r.query_id, r.word_id) for r in batch_topk(m, q, 3, **options).collect()} == want
     assert batch_topk(m, q.limit(0), 3).count() == 0 and batch_topk(m.limit(0), q, 3).count() == 0
+
+
+def test_a_long_line_does_not_turn_training_off(spark):
+    from lexivane.operators.seeded import initial_vectors
+    from lexivane.operators.train import train
+
+    rows = [(0, " ".join(f"w{i % 50}" for i in range(3000)))] + [(k, " ".join(f"w{(k + i) % 50}" for i in range(20))) for k in range(1, 600)]
+    made = train(spark.createDataFrame(rows, "doc_id long, line string"), size=4, iter=1, cbow=1, hs=0, negative=2, min_count=1, sample=0)
+    start = {r.word: list(r.vector) for r in initial_vectors(made.vocab, 4).collect()}
+    assert any(list(r.vector) != start[r.word] for r in made.vectors.collect())
