@@ -10,18 +10,18 @@ length-weighted mean of its lines' forward-backward marginals, put on the labels
 a logistic curve.
 
 Bounds: the fit reads at most MOST rows of either label of at most MOST_BYTES each,
-chosen by the hash of their id; scoring reads whole texts, every line of them.
+chosen by the hash of their id among those whose text is no longer; scoring reads whole
+texts, every line of them.
 
 Defined results: null, empty and blank texts have no lines to judge and get score 0;
 blank lines are not lines; labels that are null, not 0 or 1, or of unknown documents
-aren't used; of repeated ids the least text is; without labels of both kinds every score
-is the share of good labels (0 without labels); other columns are kept, whatever their
-names.
+aren't used; of repeated ids the least text is; with fewer than three texts of either label, or
+no line in those that are learned from, every score is the share of good labels (0 without
+labels); other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from lexivane.llm.bpe import slices
 from lexivane.llm.common import bounded_batches, free_name, tidied
 from lexivane.llm.shingles import word_hashes
-from lexivane.llm.toxicity import logistic
+from lexivane.llm.toxicity import labelled_texts, logistic
 
 MOST, MOST_BYTES = 1500, 1 << 14
 ROUNDS, RATE, RIDGE = 120, 0.15, 1e-3
@@ -244,12 +244,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", key_col:
     known = labels.select(F.col(key_col).alias("k"), F.col(label_col).cast("int").alias("y")).filter("k is not null and y in (0, 1)")
     counts = known.agg(F.sum("y").alias("p"), F.count("*").alias("n")).head()
     prior = float(counts.p or 0) / counts.n if counts.n else 0.0
-    order = F.xxhash64(F.col("k"), F.lit(2))
-    picked = known.filter("y = 1").orderBy(order, "k").limit(MOST).unionByName(known.filter("y = 0").orderBy(order, "k").limit(MOST))
-    texts = docs.select(F.col(key_col).alias("k"), F.col(text_col).alias("t")).filter(F.octet_length("t") <= MOST_BYTES)
-    rows = texts.join(F.broadcast(picked), "k").groupBy("k", "y").agg(F.min("t").alias("t")).toArrow().to_pylist()
-    rows.sort(key=lambda r: (hashlib.blake2b(str(r["k"]).encode(), digest_size=8).digest(), r["y"]))
-    return train([r["t"] for r in rows if r["y"] == 1], [r["t"] for r in rows if r["y"] == 0], prior)
+    rows = labelled_texts(docs, known, key_col, text_col, 2, MOST_BYTES, {1: MOST, 0: MOST})
+    return train([t for y, t in rows if y == 1], [t for y, t in rows if y == 0], prior)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:

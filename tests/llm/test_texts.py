@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 
 from lexivane.llm import html_blocks, html_extract, quality, toxicity
 
@@ -60,6 +61,44 @@ def test_toxicity_without_both_labels(spark):
     assert toxicity.score(df, toxicity.fit(df, one)).head().score == 1.0
 
 
+def test_toxicity_with_few_texts():
+    rows = toxic_docs(200, 3)
+    toxic, ordinary = [t for _, t, y in rows if y], [t for _, t, y in rows if not y]
+    for some in (toxic[:2], []):
+        model = toxicity.train(some, ordinary, 0.25)
+        assert not model.weights and model.scores(["a", None], None)[0].tolist() == [0.25, 0.25]
+    assert not toxicity.train(["x"] * 50, ["y"] * 50, 0.5).weights  # copies are one text
+
+
+def test_distances_by_hand():
+    rows = toxic_docs(400, 4)
+    model = toxicity.train([t for _, t, y in rows if y], [t for _, t, y in rows if not y], 0.25)
+    # Both dictionaries are zstandard's own; the toxic side has one's content before the other's.
+    for d in (model.ordinary, model.toxic):
+        assert zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_FULLDICT).dict_id() > 0
+    assert b"scum" in model.toxic and b"scum" not in model.ordinary and len(model.toxic) <= toxicity.TOXIC_BYTES
+    params = zstandard.ZstdCompressionParameters(**toxicity.SEARCH, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False)
+    start = lambda d: d.index((1).to_bytes(4, "little") + (4).to_bytes(4, "little") + (8).to_bytes(4, "little")) + 12
+    both = model.ordinary[: start(model.ordinary)] + model.toxic[start(model.toxic) :] + model.ordinary[start(model.ordinary) :]
+    a, b = (zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_FULLDICT), compression_params=params) for d in (model.ordinary, both))
+    texts = [t for _, t, _ in rows[:20]] + ["", "one", None, "WORDS " * 11]
+    found = []
+    for t in texts:
+        words = (t or "").lower().split()
+        cut = [" " + " ".join(words[i : i + 8]) + " " for i in range(0, max(1, len(words) - 4), 4)] if words else []
+        d = [len(a.compress(w.encode())) - len(b.compress(w.encode())) for w in cut]
+        assert model.distances(t, model.open()).tolist() == d
+        found.append(d)
+    x = model.features([np.array(d, float) for d in found])
+    for row, d in zip(x, found):
+        top = sorted(d)[::-1][:3] or [0]
+        want = [top[0], np.mean(top), np.mean(d or [0])]
+        for limit in model.limits:
+            over = sum(v >= limit for v in d)
+            want += [over**0.5, over / max(1, len(d))]
+        assert np.allclose(row, want)
+
+
 def test_windows_cover_every_word():
     for n in range(0, 40):
         words = [f"w{i}".encode() for i in range(n)]
