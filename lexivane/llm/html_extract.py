@@ -9,7 +9,7 @@ reader comments and footers, with and without telling names, in made-up words, e
 block labelled as it is written.
 
 Defined results: null or empty html and pages without main blocks have the empty text;
-blocks hidden by their mark-up are left out; repeated rows and ids keep their rows; an
+blocks are judged alike whether or not mark-up hides them; repeated rows and ids keep their rows; an
 empty table gives an empty result; other columns are kept, whatever their names. White
 space within a block is one space, blocks are trimmed and joined by two line ends.
 """
@@ -52,26 +52,36 @@ GROUPS = {
 APART = frozenset("nav aside footer form dialog button select".split())
 _group_of = {w: g for g, words in GROUPS.items() for w in words.split()}
 _groups, _tag_at = list(GROUPS), {t: i for i, t in enumerate(TAGS)}
+_group_at = {g: i for i, g in enumerate(_groups)}
 
 
-def features(found: list[Block]) -> np.ndarray:
-    """One row of 0/1 features per block: a constant, its own and those of its neighbours."""
-    n = len(found)
-    t, g = len(TAGS), len(_groups)
-    own = np.zeros((n, t * 2 + g + 24), np.float64)
-    in_article = any("article" in b.path or "main" in b.path for b in found)
-    for i, b in enumerate(found):
-        row = own[i]
-        for tag in b.path:
+ROWS = 4096
+_OWN = 2 * len(TAGS) + len(_groups) + 23
+_known = frozenset(_group_of)
+
+
+def blocks_of(page: str | None) -> list[Block]:
+    return blocks(page, _known)
+
+
+def _own(found: list[Block], start: int, stop: int, in_article: bool) -> np.ndarray:
+    """The features of the blocks from start to stop themselves."""
+    n, t, g = len(found), len(TAGS), len(_groups)
+    own = np.zeros((stop - start, _OWN), np.float64)
+    for i in range(start, stop):
+        row, b = own[i - start], found[i]
+        e = b.element
+        for tag in e.tags:
             if tag in _tag_at:
                 row[_tag_at[tag]] = 1
-        if b.path and b.path[-1] in _tag_at:
-            row[t + _tag_at[b.path[-1]]] = 1
-        for w in b.marks:
-            if w in _group_of:
-                row[2 * t + _groups.index(_group_of[w])] = 1
+        if e.tag in _tag_at:
+            row[t + _tag_at[e.tag]] = 1
+        names = {_group_of[w] for w in e.words if w in _group_of}
+        for name in names:
+            row[2 * t + _group_at[name]] = 1
         chars, words = len(b.text), b.text.count(" ") + 1
         share = b.linked / max(1, chars)
+        inside = "article" in e.tags or "main" in e.tags
         k = 2 * t + g
         row[k + min(5, int(np.log2(words)))] = 1
         row[k + 6] = share > 0.9
@@ -83,26 +93,53 @@ def features(found: list[Block]) -> np.ndarray:
         row[k + 12] = b.text[0] in "©®|»«·•" or "©" in b.text or "·" in b.text
         row[k + 13] = i < 0.1 * n
         row[k + 14] = i >= 0.9 * n
-        row[k + 15] = b.hidden
-        row[k + 16] = in_article and ("article" in b.path or "main" in b.path)
-        row[k + 17] = in_article and not ("article" in b.path or "main" in b.path)
-        row[k + 18] = b.links > 2
-        row[k + 19] = len(b.path) <= 2
-        row[k + 20] = b.text.isupper()
-        row[k + 21] = b.path.count("article") > 1
-        beside = bool(APART.intersection(b.path)) or any(_group_of.get(w, "main") != "main" for w in b.marks)
-        row[k + 22] = row[k + 16] and not beside and not row[k + 21]
-        row[k + 23] = beside
+        row[k + 15] = in_article and inside
+        row[k + 16] = in_article and not inside
+        row[k + 17] = b.links > 2
+        row[k + 18] = e.depth <= 2
+        row[k + 19] = b.text.isupper()
+        row[k + 20] = e.articles > 1
+        beside = not APART.isdisjoint(e.tags) or bool(names - {"main"})
+        row[k + 21] = row[k + 15] and not beside and not row[k + 20]
+        row[k + 22] = beside
+    return own
+
+
+def features(found: list[Block]) -> np.ndarray:
+    """One row of features per block: a constant, its own, those of its neighbours, and whether it is the first or last."""
+    n = len(found)
+    own = _own(found, 0, n, _has_article(found))
     before, after = np.zeros_like(own), np.zeros_like(own)
-    if n:
-        before[1:], after[:-1] = own[:-1], own[1:]
-    near = slice(t, None)
     ends = np.zeros((n, 2))
     if n:
+        before[1:], after[:-1] = own[:-1], own[1:]
         ends[0, 0] = ends[-1, 1] = 1
+    near = slice(len(TAGS), None)
     return np.column_stack([np.ones(n), own, before[:, near], after[:, near], ends])
 
 
+def _has_article(found: list[Block]) -> bool:
+    return any("article" in b.element.tags or "main" in b.element.tags for b in found)
+
+
+def potentials(found: list[Block], weights: np.ndarray) -> np.ndarray:
+    """features(found) @ weights, with the features of ROWS blocks in memory at a time."""
+    n, near = len(found), _OWN - len(TAGS)
+    own, before, after = weights[1 : 1 + _OWN], weights[1 + _OWN : 1 + _OWN + near], weights[1 + _OWN + near : 1 + _OWN + 2 * near]
+    out, in_article = np.full(n, weights[0]), _has_article(found)
+    out[0] += weights[-2]
+    out[-1] += weights[-1]
+    for start in range(0, n, ROWS):
+        stop = min(n, start + ROWS)
+        x = _own(found, start, stop, in_article)
+        out[start:stop] += x @ own
+        last = min(n, stop + 1)
+        out[start + 1 : last] += (x[:, len(TAGS) :] @ before)[: last - start - 1]
+        first = max(1, start)
+        out[first - 1 : stop - 1] += (x[:, len(TAGS) :] @ after)[first - start :]
+    return out
+
+
 def viterbi(potential: np.ndarray, pair: np.ndarray) -> np.ndarray:
     """The likeliest labels of one chain: potential of 1 against 0, pair[before, after]."""
     n = len(potential)
@@ -278,7 +315,7 @@ def labelled_pages(n: int = PAGES, seed: int = SEED) -> list[tuple[str, list[int
     out = []
     for i in range(n):
         marked = _Writer(random.Random(f"{seed}/{i}")).page()
-        out.append((marked.replace(MARK, ""), [int(MARK in b.text) for b in blocks(marked)]))
+        out.append((marked.replace(MARK, ""), [int(MARK in b.text) for b in blocks_of(marked)]))
     return out
 
 
@@ -287,10 +324,10 @@ class Model:
         self.weights, self.pair = weights, pair
 
     def main_blocks(self, page: str | None) -> list[str]:
-        found = [b for b in blocks(page) if not b.hidden]
+        found = blocks_of(page)
         if not found:
             return []
-        labels = viterbi(features(found) @ self.weights, self.pair)
+        labels = viterbi(potentials(found, self.weights), self.pair)
         return [b.text for b, y in zip(found, labels) if y]
 
 
@@ -298,13 +335,12 @@ class Model:
 def train(n: int = PAGES, seed: int = SEED) -> Model:
     x, y, at = [], [], [0]
     for page, labels in labelled_pages(n, seed):
-        found = blocks(page)
-        keep = [i for i, b in enumerate(found) if not b.hidden]
-        if len(found) != len(labels) or not keep:
+        found = blocks_of(page)
+        if len(found) != len(labels) or not found:
             continue
-        x.append(features([found[i] for i in keep]))
-        y += [labels[i] for i in keep]
-        at.append(at[-1] + len(keep))
+        x.append(features(found))
+        y += labels
+        at.append(at[-1] + len(found))
     weights, pair = _fit_chain(np.concatenate(x), np.array(y), np.array(at))
     return Model(weights, pair)
 

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -184,14 +185,47 @@ def texts(page):
     ("<a href='x>y'>z</a>", ["z"]),
     ("<div" + "<div>" * 3 + "deep", ["deep"]),
     ("<p>unended <b", ["unended"]),
+    ("<p>a</p><svg/><p>b</p><svg><text>x</text></svg><p>c</p>", ["a", "b", "c"]),
+    ("see <math><mi>x</mi></math> here, <object>or</object> <noscript>there</noscript>.", ["see x here, or there."]),
+    ("<template>a<template>b</template>c</template>tail<svg>open <p>end", ["tailopen", "end"]),
+    ("<p class=don't>one</p><p>it's</p>", ["one", "it's"]),
+    ("a<!-->b<!-- x --!>c<xmp><i>&amp;</xmp><iframe>no</iframe>d", ["abc", "<i>&amp;", "d"]),
+    ("<my-card>a</my-card> <nosuch>b</nosuch><p hidden>c", ["a b", "c"]),
+    ("<p>one<li>two<dl><dt>x<dd>y</dl>z", ["one", "two", "x", "y", "z"]),
 ])
 def test_blocks(page, want):
     assert texts(page) == want
 
 
 def test_very_deep_and_long_pages():
-    assert texts("<div>" * 3000 + "x") == ["x"]
-    assert len(texts("<p>word</p>" * 20_000)) == 20_000
+    began = time.process_time()
+    assert texts("<div>" * 100_000 + "x") == ["x"]
+    assert len(texts("<div>word" * 20_000)) == 20_000
+    assert len(texts("<p>word</p>" * 50_000)) == 50_000
+    assert len(texts("<div>" * 10_000 + "<li>a</li></span></i>" * 10_000)) == 10_000
+    assert texts("<svg>" * 20_000 + "x") == ["x"] and texts("<a b=" * 20_000) == []
+    assert time.process_time() - began < 10
+    assert len("\n\n".join(html_extract.train().main_blocks("<article>" + "<div>" * 5000 + "<p>Some words of a text, which go on.</p>" * 20_000))) > 700_000
+
+
+def test_potentials_in_parts(monkeypatch):
+    model = html_extract.train()
+    for rows in (1, 3, 4096):
+        monkeypatch.setattr(html_extract, "ROWS", rows)
+        for page, _ in html_extract.labelled_pages(20, 5):
+            found = html_extract.blocks_of(page)
+            assert np.allclose(html_extract.potentials(found, model.weights), html_extract.features(found) @ model.weights)
+
+
+def test_pages_without_article():
+    """Pages that are composed as the training ones, but never with an article or main element."""
+    model, exact = html_extract.train(), []
+    for page, labels in html_extract.labelled_pages(300, 99):
+        if "<article" in page or "<main" in page:
+            continue
+        found = html_extract.blocks_of(page)
+        exact.append(np.mean(html_extract.viterbi(html_extract.potentials(found, model.weights), model.pair) == np.array(labels)))
+    assert len(exact) > 30 and np.mean(exact) > 0.93
 
 
 def test_pages_held_out():
