@@ -12,7 +12,8 @@
 4. Components come from label propagation with pointer jumping on the links.
 
 With the defaults (256 coordinates, 32 bands of 8) a pair at the threshold 0.85 misses all
-buckets with probability 4e-5, one at 0.9 with 2e-8.
+buckets with probability 4e-5, one at 0.9 with 2e-8. Shingles are compared by strong 64-bit
+hashes (see `shingles`), full sets by all of them.
 
 Defined results: null, empty and blank texts have no shingles and stay on their own;
 texts of fewer words than a shingle have the whole sequence as one; rows with a null key
@@ -37,7 +38,8 @@ from lexivane.llm.shingles import WORDS, bands, shingle_sets, sketches
 
 PERCENT = 85
 BINS, BANDS = 256, 32
-BLOCK = 256
+#: Nodes and shingles of a block of a bucket, about; a pair of blocks is held by one task.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
 COLUMNS = 4096
 NO_KEY = -(1 << 63)
 
@@ -164,8 +166,8 @@ def components(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text",
         at = shared.select("bucket", "node", "n").join(labels, "node", "left").withColumn("component", F.coalesce("label", "node")).drop("label")
         at = materialize(at, "placed")
         h = F.xxhash64("node").cast("decimal(38,0)")
-        mixed = at.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m"), F.sum(h).alias("h"), F.min("n").alias("least_n"), F.max("n").alias("most_n")).filter("lo != hi")
-        mixed = materialize(mixed.groupBy("h", "m").agg(F.min("bucket").alias("bucket")).select("bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("k")), "mixed")
+        mixed = at.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m"), F.sum(h).alias("h"), F.sum("n").alias("sum_n")).filter("lo != hi")
+        mixed = materialize(mixed.groupBy("h", "m").agg(F.min("bucket").alias("bucket"), F.max("sum_n").alias("sum_n")).select("bucket", F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("sum_n") / BLOCK_SHINGLES)).cast("int").alias("k")), "mixed")
         if not mixed.isEmpty():
             block = F.pmod(F.xxhash64("node", "bucket"), F.col("k")).cast("int")
             dealt = at.join(mixed, "bucket").withColumn("block", block)

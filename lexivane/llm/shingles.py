@@ -1,15 +1,21 @@
-"""Word-shingle sets and fast similarity sketches over Arrow batches, vectorised with NumPy."""
+"""Word-shingle sets and fast similarity sketches over Arrow batches, vectorised with NumPy.
+
+Words are hashed by BLAKE2b, each distinct word of a batch once; a shingle's hash chains
+the hashes of its words through a 64-bit finalizer, so that no structure of the words
+shows in it. Two different shingles agree with probability 2^-64. For texts whose writers
+may look for equal hashes (2^32 trials), `key` keeps the hashes from them.
+"""
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 WORDS = 5
-SPACES = (32, 9, 10, 11, 12, 13)
-
-_ROOT = 0x5851F42D4C957F2D
+KEY = b""
 
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -21,99 +27,45 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_LETTER = mix(np.arange(256, dtype=np.uint64), 11) | np.uint64(1)
-_LETTER[65:91] = _LETTER[97:123]
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[list(SPACES)] = True
-
-BLOCK = 1 << 20
-
-_powers = np.ones(1, dtype=np.uint64)
-
-
-def _powers_to(n: int) -> np.ndarray:
-    """Powers of the root, as many as the longest word has bytes; long tables aren't kept."""
-    global _powers
-    if len(_powers) >= n:
-        return _powers[:n]
-    x = np.full(max(n, 1 << 12), _ROOT, dtype=np.uint64)
-    x[0] = 1
-    with np.errstate(over="ignore"):
-        x = np.multiply.accumulate(x)
-    if len(x) <= 1 << 16:
-        _powers = x
-    return x[:n]
-
-
-def _hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Polynomial hash of each word, in blocks of about BLOCK bytes, so that memory stays small next to the text."""
-    out, at = np.empty(len(starts), np.uint64), 0
-    while at < len(starts):
-        to = max(at + 1, int(np.searchsorted(ends, starts[at] + BLOCK, "right")))
-        s, e = starts[at:to] - starts[at], ends[at:to] - starts[at]
-        sizes = e - s
-        first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        inside = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
-        letters = data[np.repeat(starts[at:to], sizes) + inside]
-        with np.errstate(over="ignore"):
-            out[at:to] = np.add.reduceat(_LETTER[letters] * _powers_to(int(sizes.max()))[inside], first)
-        at = to
+def word_hashes(texts: pa.Array, key: bytes = KEY) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word [^\\x20\\x09-\\x0D]+ (A-Z lower-cased) of all texts in a row, and the number of words before each text and after the last. Null texts have none."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    offsets = np.asarray(split.offsets).astype(np.int64)
+    words = split.values.slice(offsets[0], offsets[-1] - offsets[0])
+    offsets = offsets - offsets[0]
+    some = np.asarray(pc.binary_length(words)) > 0 if len(words) else np.zeros(0, bool)
+    before = np.concatenate([[0], np.cumsum(some)]).astype(np.int64)
+    coded = words.filter(pa.array(some)).dictionary_encode()
+    distinct = coded.dictionary.cast(pa.large_binary() if pa.types.is_large_string(coded.dictionary.type) else pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    hashes = np.frombuffer(b"".join([blake2b(w, digest_size=8, key=key).digest() for w in distinct]), np.uint64)
+    return hashes[np.asarray(coded.indices)], before[offsets]
+
+
+def _chained(parts: list[np.ndarray]) -> np.ndarray:
+    """One hash of the hashes of some words in a row, and of their number."""
+    out = np.full(len(parts[0]), len(parts), np.uint64)
+    for part in parts:
+        out = mix(mix(out, 5) ^ part, 6)
     return out
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word (A-Z lower-cased) of all texts in a row, and the number of words before each text and after the last. Null texts have none."""
-    texts = pc.fill_null(texts, "")
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
-    n = len(texts)
-    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32 if pa.types.is_string(texts.type) else np.int64)[texts.offset : texts.offset + n + 1].astype(np.int64)
-    base = int(offsets[0])
-    data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[base : int(offsets[-1])]
-    offsets = offsets - base
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(n + 1, np.int64)
-    inside = ~_SPACE[data]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
-    edges = offsets[1:-1]
-    edges = edges[edges < len(data)]
-    first[edges] = inside[edges]
-    starts = np.flatnonzero(first)
-    if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(n + 1, np.int64)
-    last = inside.copy()
-    last[:-1] &= ~inside[1:]
-    edges = offsets[1:-1]
-    edges = edges[edges > 0] - 1
-    last[edges] = inside[edges]
-    ends = np.flatnonzero(last) + 1
-    h = _hash_words(data, starts, ends)
-    return mix(h, 1), np.searchsorted(starts, offsets).astype(np.int64)
-
-
-def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
+def shingle_sets(texts: pa.Array, words: int = WORDS, key: bytes = KEY) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text; a text with fewer words has its whole sequence as one, one without words none."""
-    h, at = word_hashes(texts)
+    h, at = word_hashes(texts, key)
     if not len(h):
         return [np.zeros(0, np.uint64)] * len(texts)
-    with np.errstate(over="ignore"):
-        terms = [h * (mix(np.array([k + 1], np.uint64), 5)[0] | np.uint64(1)) for k in range(words)]
-        all_of = np.zeros(max(0, len(h) - words + 1), np.uint64)
-        for k in range(words):
-            all_of += terms[k][k : k + len(all_of)]
-        all_of = mix(all_of, 2)
-        out = []
-        for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
-            if b - a >= words:
-                out.append(np.unique(all_of[a : b - words + 1]))
-            elif b > a:
-                whole = np.uint64(b - a)
-                for k in range(b - a):
-                    whole = whole + terms[k][a + k]
-                out.append(mix(np.array([whole], np.uint64), 3))
-            else:
-                out.append(np.zeros(0, np.uint64))
+    n = max(0, len(h) - words + 1)
+    all_of = _chained([h[k : k + n] for k in range(words)])
+    out = []
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+        if b - a >= words:
+            out.append(np.unique(all_of[a : b - words + 1]))
+        elif b > a:
+            out.append(_chained([h[k : k + 1] for k in range(a, b)]))
+        else:
+            out.append(np.zeros(0, np.uint64))
     return out
 
 
