@@ -66,7 +66,9 @@ def messages(events: DataFrame) -> DataFrame:
     reset = F.col("op").isin(*RESETS)
     log = log.withColumn("first", F.min("at").over(whole)).withColumn("base", F.coalesce(F.max(F.when(reset, F.col("at"))).over(whole), F.col("first")))
     # A message is discarded if a later regeneration is of a message opened before it.
-    log = log.withColumn("redone", F.min(F.when(F.col("op") == "regenerate", F.col("first"))).over(conv.rowsBetween(1, Window.unboundedFollowing)))
+    # The frame is of the events after this one, taken from the end, so that it grows by a row at a time.
+    back = Window.partitionBy("conv_id").orderBy(F.desc("at"))
+    log = log.withColumn("redone", F.min(F.when(F.col("op") == "regenerate", F.col("first"))).over(back.rowsBetween(Window.unboundedPreceding, -1)))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("at") >= F.col("base"), F.struct("at", F.when(F.col("op") == "regenerate", F.lit("")).otherwise(F.col("text")).alias("text"))))), lambda x: x["text"]), "")
     return (
         log.groupBy("conv_id", "id", "first")

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -99,6 +100,25 @@ def test_sketches_estimate_similarity():
     assert (s[0] != np.iinfo(np.uint64).max).all() and (s[1] == np.iinfo(np.uint64).max).all()
 
 
+def test_words_made_to_collide(spark):
+    """Words whose polynomial hashes modulo 2^64 agree whatever the root: a Thue-Morse word and its complement."""
+    bits = [bin(i).count("1") & 1 for i in range(1024)]
+    one, two = ("".join("ab"[b ^ k] for b in bits) for k in (0, 1))
+    rows = [(1, one), (2, two), (3, " ".join([one, "x", two, "y", one])), (4, " ".join([two, "x", one, "y", two])), (5, one.upper())]
+    got = neardup.components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute_components(rows)
+
+
+def test_words_are_split_and_lowered_as_told():
+    texts = [" A b\x1cc\tD\n", None, "", "\x0b\x0cé\xa0É\u2003x İ", "a"]
+    h, at = shingles.word_hashes(pa.array(texts))
+    assert at.tolist() == [0, 3, 3, 3, 5, 6]
+    want = [w for t in texts for w in words_of(t)]
+    assert len(set(h.tolist())) == len(set(want)) and h[0] == h[5]
+    assert shingles.word_hashes(pa.array(texts), b"key")[0][0] != h[0]
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6])
 def test_sets_of_a_few_words_alone(n):
     short, long = " ".join(f"w{i}" for i in range(n)), "some more words of a long text " * 40_000
@@ -243,6 +263,18 @@ def test_events(spark):
     assert got == {c: fold([(op, m, r, t or "") for op, m, r, t in log]) for c, log in logs.items()}
 
 
+def test_a_long_stream_of_deltas(spark):
+    n = 100_000
+    log = spark.range(n).selectExpr("1L AS conv_id", "id + 1 AS seq", "if(id % 50000 = 49999, 'regenerate', 'delta') AS op", "'m' AS message", "CAST(NULL AS STRING) AS role", "concat('t', CAST(id AS STRING), ' ') AS text")
+    first = spark.createDataFrame([(1, 0, "message", "m", "assistant", "start ")], log.schema)
+    began = time.time()
+    got = chat.format_chats(log.unionByName(first)).collect()
+    assert time.time() - began < 20
+    assert len(got) == 1 and got[0].formatted == chat.OPEN + "assistant\n" + chat.CLOSE
+    got = chat.read_back(chat.format_chats(log.filter("op = 'delta' and seq > 50000").unionByName(first))).head()
+    assert got.turns[0].text == "start " + "".join(f"t{i} " for i in range(50_000, n - 1))
+
+
 def test_native_plan(spark):
     df = spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string")
     plan = chat.digests(chat.read_back(chat.format_chats(chat.from_turns(df))))._jdf.queryExecution().executedPlan().toString()
