@@ -1,17 +1,26 @@
 """Media columns by content-defined payload chunking.
 
 A payload is kept as 8-bit mono samples in a WAV container. Its bytes are cut where a
-rolling gear hash of the last 32 bytes meets a mask, so equal passages give equal chunks
-wherever they lie. Chunks and media are named by the first 16 bytes of their SHA-256; the store holds each digest once
-(a distinct by digest) and a recipe holds each payload's ordered chunk list.
-Reconstruction joins recipes with the store, checks the whole media's digest, and computes features from what was read back.
+rolling gear hash of the last 32 bytes meets a mask, every half kilobyte or so, so equal
+passages give equal chunks wherever they lie. Chunks and media are named by the first 16
+bytes of their SHA-256; the store holds each digest once (a distinct by digest) and a
+recipe holds each payload's ordered chunk list. Reconstruction joins recipes with the
+store, checks the whole media's digest, and computes features from what was read back.
+
+Chunks are compressed with zstandard under a dictionary that is trained on the first
+SAMPLE_BYTES of at most SAMPLE texts, chosen by their hash; with too little text for the
+trainer there is none. It only changes the size of the store, never what is read back.
 
 Distinct payloads are told apart by the SHA-256 of their bytes: copies share one recipe
-and are reconstructed once, however many there are.
+and are reconstructed once, however many there are. Media are put together in WAVES parts,
+so that only a part of the store is on the move at a time. Texts are cut twice, once for
+recipes and once for chunks: in one pass the chunks of all copies would have to be kept
+until they are distinct, which costs the store's size once more.
 
 Defined results: null text is empty text; the empty payload is 64 zero samples; ties and
 repeated rows keep their rows; an empty table gives an empty result; other columns of the
-input aren't carried over, so their names don't matter.
+input aren't carried over, so their names don't matter. Keys must be numbers (they are
+cast to long).
 """
 
 from __future__ import annotations
@@ -28,16 +37,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexivane.llm.bpe import slices
-from lexivane.llm.common import bounded_batches, materialize, scratch, shuffles_end_with_their_query, tidied, work_path
+from lexivane.llm.common import bounded_batches, materialize, remove_path, scratch, shuffles_end_with_their_query, tidied, work_path
 
 UNIT = 64
 RATE = 8000
-MIN_CHUNK, MAX_CHUNK = 1 << 11, 1 << 16
-MASK = np.uint32(((1 << 13) - 1) << 19)
+MIN_CHUNK, MAX_CHUNK = 1 << 8, 1 << 16
+MASK = np.uint32(((1 << 9) - 1) << 23)
 STEPS = 5
-LEVEL = 19
+LEVEL = 12
+SAMPLE, SAMPLE_BYTES, DICTIONARY = 1500, 4000, 1 << 18
 NAME_BYTES = 16
 HOT_USES, SALTS = 2000, 32
+WAVES = 2
 
 
 def _gear() -> np.ndarray:
@@ -120,13 +131,34 @@ def recipes(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text") ->
     return slim.mapInArrow(tidied(run), "doc_id long, media binary, n_bytes long, recipe array<struct<digest:binary,size:int>>")
 
 
-def chunks(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The chunks of each row of docs: digest and data (compressed). Repeats within a part of a task are left out."""
+def dictionary(docs: DataFrame, text_col: str = "text") -> bytes:
+    """A zstandard dictionary for chunks from a bounded choice of texts; empty where there is too little to train on."""
+    t = F.col(text_col).cast("string")
+    rows = docs.filter(t.isNotNull()).select(F.xxhash64(t).alias("h"), F.substring(t, 1, SAMPLE_BYTES).alias("t")).orderBy("h", "t").limit(SAMPLE).toArrow()
+    try:
+        return zstandard.train_dictionary(DICTIONARY, [wav(payload(x.encode())) for x in sorted(set(rows.column("t").to_pylist()))], k=48, d=6, level=3).as_bytes()
+    except zstandard.ZstdError:
+        return b""
+
+
+def packer(known: bytes):
+    d = zstandard.ZstdCompressionDict(known)
+    if known:
+        d.precompute_compress(level=LEVEL)
+    return zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_checksum=False, write_dict_id=False, write_content_size=True).compress
+
+
+def unpacker(known: bytes):
+    return zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(known)).decompress
+
+
+def chunks(docs: DataFrame, known: bytes, text_col: str = "text") -> DataFrame:
+    """The chunks of each row of docs: digest and data (compressed under the dictionary). Repeats within a part of a task are left out."""
     bounded_batches(docs.sparkSession)
     slim = docs.select(F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        pack = zstandard.ZstdCompressor(level=LEVEL).compress
+        pack = packer(known)
         for whole in batches:
             for batch in slices(whole, "text", 1_000_000):
                 found = {}
@@ -142,50 +174,54 @@ def chunks(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return slim.mapInArrow(tidied(run), "digest binary, data binary")
 
 
-def store(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The chunk store: each digest once with its bytes, written to the shared folder in buckets of the digest, so that joins by digest don't move it."""
-    spark = docs.sparkSession
-    n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    once = chunks(docs, text_col).repartition(n, "digest").dropDuplicates(["digest"])
-    name = "lexivane_chunks_" + uuid.uuid4().hex
-    with shuffles_end_with_their_query(spark):
-        once.write.bucketBy(n, "digest").option("path", work_path(spark, "chunks")).option("compression", "none").saveAsTable(name)
-    return spark.table(name)
+class Store:
+    """The chunk store: a table of each digest once with its bytes, in buckets of the digest so that joins by digest don't move it, and the dictionary of the chunks."""
+
+    def __init__(self, docs: DataFrame, text_col: str = "text"):
+        self.spark = docs.sparkSession
+        n = max(2, int(self.spark.conf.get("spark.sql.shuffle.partitions", "200")))
+        self.dictionary = dictionary(docs, text_col)
+        once = chunks(docs, self.dictionary, text_col).repartition(n, "digest").dropDuplicates(["digest"])
+        self.name, self.path = "lexivane_chunks_" + uuid.uuid4().hex, work_path(self.spark, "chunks")
+        with shuffles_end_with_their_query(self.spark):
+            once.write.bucketBy(n, "digest").option("path", self.path).option("compression", "none").saveAsTable(self.name)
+
+    @property
+    def df(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        remove_path(self.spark, self.path.rsplit("/", 1)[0])
 
 
-def rebuild(held: DataFrame, kept: DataFrame) -> DataFrame:
-    """Each distinct media of the recipes `held`, put together from the store `kept` and verified: media, payload and media figures and feature.
+def rebuild(lists: DataFrame, store: Store) -> DataFrame:
+    """Each media of the lists (media, recipe; each media once), put together from the store and verified: media, payload and media figures and feature.
 
     Chunks used by more than HOT_USES media are few; their uses are dealt over SALTS
     copies of them, so that no task gets all uses of one chunk.
     """
-    parts = held.select("media", "recipe").dropDuplicates(["media"]).select("media", F.size("recipe").alias("n"), F.posexplode("recipe").alias("seq", "part")).select("media", "n", "seq", F.col("part.digest").alias("digest"))
-    parts = materialize(parts, "parts")
+    kept, known = store.df, store.dictionary
+    parts = lists.select("media", F.size("recipe").alias("n"), F.posexplode("recipe").alias("seq", "part")).select("media", "n", "seq", F.col("part.digest").alias("digest"))
     hot = materialize(parts.groupBy("digest").count().filter(F.col("count") > HOT_USES).select("digest"), "hot")
 
     def with_data(wanted: DataFrame) -> DataFrame:
         cool = wanted.join(hot, "digest", "left_anti").join(kept, "digest")
         salted = wanted.join(hot, "digest", "left_semi").withColumn("salt", F.pmod(F.xxhash64("media"), F.lit(SALTS)))
         copies = kept.join(hot, "digest", "left_semi").withColumn("salt", F.explode(F.array([F.lit(i).cast("long") for i in range(SALTS)])))
-        return cool.select("media", "seq", "data").unionByName(salted.join(copies, ["digest", "salt"]).select("media", "seq", "data"))
+        return cool.select("media", "n", "seq", "data").unionByName(salted.join(copies, ["digest", "salt"]).select("media", "n", "seq", "data"))
 
-    # A media of one chunk is whole as it leaves the join; only chunks of longer ones are brought together.
-    one = with_data(parts.filter("n = 1")).select("media", F.array(F.struct("seq", "data")).alias("list"))
-    more = with_data(parts.filter("n > 1")).groupBy("media").agg(F.array_sort(F.collect_list(F.struct("seq", "data"))).alias("list"))
-    whole = one.unionByName(more)
+    whole = with_data(parts).groupBy("media").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("seq", "data"))).alias("list"))
     schema = "media binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
     def run(batches):
-        unpack = zstandard.ZstdDecompressor().decompress
+        unpack = unpacker(known)
         for batch in batches:
             rows = []
-            for name, chain in zip(batch.column(0), batch.column(1)):
-                data = []
-                for part in chain.values:
-                    data.append(unpack(part["data"].as_py()))
-                media = b"".join(data)
+            for name, n, chain in zip(batch.column(0), batch.column(1), batch.column(2)):
+                media = b"".join([unpack(x) for x in chain.values.field("data").to_pylist()])
                 sha = hashlib.sha256(media)
-                if sha.digest()[:NAME_BYTES] != name.as_py():
+                if len(chain) != n.as_py() or sha.digest()[:NAME_BYTES] != name.as_py():
                     raise ValueError("a payload is damaged")
                 x = samples_of(media)
                 rows.append((name.as_py(), len(x), hashlib.sha256(x).hexdigest(), zlib.crc32(x[-UNIT:]), len(media), sha.hexdigest(), features(x)))
@@ -197,11 +233,19 @@ def rebuild(held: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def media_columns(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes and the read-back figures of each row of docs."""
-    kept = store(docs, text_col)
-    held = materialize(recipes(docs, key_col, text_col), "recipes")
-    with scratch(docs.sparkSession) as keep:
-        found = keep(materialize(rebuild(held, kept), "rebuilt"))
+    """doc_id, n_bytes and the read-back figures of each row of docs. The store is dropped when all media are read back."""
+    store = Store(docs, text_col)
+    try:
+        with scratch(docs.sparkSession) as keep:
+            held = keep(materialize(recipes(docs, key_col, text_col), "recipes"))
+            wave = F.pmod(F.xxhash64("media"), F.lit(WAVES)).alias("wave")
+            lists = materialize(held.select("media", "recipe", wave).dropDuplicates(["media"]), "lists")
+            found = None
+            for w in range(WAVES):
+                part = keep(materialize(rebuild(lists.filter(F.col("wave") == w).select("media", "recipe"), store), "rebuilt"))
+                found = part if found is None else found.unionByName(part)
+    finally:
+        store.drop()
     return held.select("doc_id", "n_bytes", "media").join(found, "media").drop("media")
 
 
