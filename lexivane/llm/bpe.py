@@ -1,17 +1,25 @@
 """BPE encoding and decoding by tree concatenation.
 
-A whitespace-free run of text ends at true token boundaries on both sides, so runs are
-encoded on their own and their results are kept in a bounded per-worker cache. A long
-unsplit pre-token is cut into halves down to short leaves; all leaves are encoded in
-parallel (one threaded batch of the library's merge engine), and neighbours are joined
-level by level: the tokens in a window around the join are encoded again, and the window
-grows until its first and last token equal those that the halves had there. Two token
-sequences are then valid in every adjacent pair, which makes their concatenation the BPE
-encoding of the whole.
+Two kinds of text are cut in halves down to short leaves, which are encoded in parallel
+(all leaves of a batch by one vectorised call, batches by tasks) and joined level by level:
+
+- Whole texts are halved wherever the middle falls, as long as both halves have white
+  space. At a join a window of whole runs between spaces or line ends around the cut is
+  encoded again, and grows until its first and last token are those that the halves have
+  there; the tokens between are replaced. A token never crosses a space or line end, so
+  what lies beyond the window stands.
+- A long pre-token (a run's part that the pre-tokenizer doesn't split) has no such places.
+  Its symbols are halved, leaves go to the library's merge engine, and the tokens in a
+  window around the join are merged again until the window's ends agree. Two token
+  sequences are then valid in every adjacent pair, which makes their concatenation the BPE
+  encoding of the whole.
+
+Runs are encoded on their own and their results are kept in a bounded per-worker cache.
 
 Defined results: null text and empty text have no ids and decode to the empty string;
-strings of special tokens become their ids, as in the library; all other columns of the
-input are kept, whatever their names.
+strings of special tokens become their ids, as in the library; null ids decode to the
+empty string; all other columns of the input are kept, whatever their names, and a new
+column whose name is taken gets underscores in front.
 """
 
 from __future__ import annotations
@@ -32,6 +40,8 @@ from lexivane.llm.common import bounded_batches, free_name, tidied
 
 LEAF = 64
 WINDOW = 4
+#: A longer text, in characters, is halved.
+TEXT_LEAF = 512
 CACHE_WORDS = 120_000
 LONG_WORD = 64
 
@@ -39,14 +49,15 @@ LONG_WORD = 64
 class TreeBpe:
     """Encoder and decoder for one vocabulary file of the tokenizers library."""
 
-    def __init__(self, path: str, leaf: int = LEAF, window: int = WINDOW, tree: bool = True):
-        """tree=False leaves whole pre-tokens, however long, to the library's own model."""
+    def __init__(self, path: str, leaf: int = LEAF, window: int = WINDOW, tree: bool = True, text_leaf: int = TEXT_LEAF):
+        """tree=False leaves texts whole, and pre-tokens, however long, to the library's own model."""
         from tokenizers import Tokenizer
         from tokenizers.models import BPE
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.leaf, self.window = leaf, window
+        self.leaf, self.window, self.text_leaf = leaf, window, text_leaf
+        self.joins = self.grown = 0
         library = Tokenizer.from_file(path)
         self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
         model = spec["model"]
@@ -172,8 +183,50 @@ class TreeBpe:
         return self.encode_batch(pa.array([text], pa.string()))[0].as_py()
 
     def encode_batch(self, texts) -> pa.ListArray:
+        if not self.tree or not (pc.max(pc.utf8_length(texts)).as_py() or 0) > self.text_leaf:
+            return self._encode_leaves(texts)
+        return self.encode_texts(texts.to_pylist())
+
+    def _encode_leaves(self, texts) -> pa.ListArray:
         return encode_by_runs(texts, self.known, self.words)
 
+    def encode_texts(self, texts: list[str | None]) -> pa.ListArray:
+        """Tree concatenation of whole texts."""
+        tree = [Node(t or "", 0, len(t or "")) for t in texts]
+        levels, leaves = [tree], []
+        while levels[-1]:
+            below = []
+            for node in levels[-1]:
+                below += node.halve(self.text_leaf)
+                if not node.halves:
+                    leaves.append(node)
+            levels.append(below)
+        for node, ids in zip(leaves, _arrays(self._encode_leaves(pa.array([n.text[n.start : n.stop] for n in leaves], pa.string())))):
+            node.ids = ids
+        for level in reversed(levels):
+            self._join_level([n for n in level if n.halves])
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(n.ids) for n in tree])]).astype(np.int32)), pa.array(np.concatenate([*(n.ids for n in tree), np.zeros(0, np.int32)])))
+
+    def _join_level(self, nodes: list["Node"]) -> None:
+        """Join the halves of the nodes, whose ids are known, all windows of one size at once."""
+        runs = 1
+        while nodes:
+            windows, parts = [n.window(runs) for n in nodes], []
+            for n, (a, b) in zip(nodes, windows):
+                parts += [n.text[a : n.cut], n.text[a:b], n.text[n.cut : b]]
+            found, again = _arrays(self._encode_leaves(pa.array(parts, pa.string()))), []
+            for i, (n, (a, b)) in enumerate(zip(nodes, windows)):
+                tail, middle, head = found[3 * i : 3 * i + 3]
+                left, right = n.halves
+                if (a == n.start or not len(tail) or len(middle) and middle[0] == tail[0]) and (b == n.stop or not len(head) or len(middle) and middle[-1] == head[-1]):
+                    n.ids = np.concatenate([left.ids[: len(left.ids) - len(tail)], middle, right.ids[len(head) :]])
+                    n.halves = ()
+                    self.joins += 1
+                else:
+                    again.append(n)
+                    self.grown += 1
+            nodes, runs = again, 2 * runs
+
     def decode(self, ids) -> str:
         """As the library does without a decoder: the tokens' strings joined by one space; unknown ids give nothing."""
         return self.decode_batch(pa.array([list(ids)], pa.list_(pa.int32())))[0].as_py()
@@ -189,6 +242,53 @@ class TreeBpe:
         return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), names), " ")
 
 
+class Node:
+    """A part of a text in the tree: its bounds, halves and ids."""
+
+    __slots__ = ("text", "start", "stop", "cut", "halves", "ids")
+
+    def __init__(self, text: str, start: int, stop: int):
+        self.text, self.start, self.stop, self.cut, self.halves, self.ids = text, start, stop, start, (), None
+
+    def halve(self, leaf: int) -> tuple["Node", ...]:
+        """Its halves, if it is longer than a leaf and both have white space."""
+        if self.stop - self.start > leaf:
+            cut = (self.start + self.stop) // 2
+            if self._before(self.start, cut) >= 0 and self._after(cut, self.stop) >= 0:
+                self.cut, self.halves = cut, (Node(self.text, self.start, cut), Node(self.text, cut, self.stop))
+        return self.halves
+
+    def _before(self, start: int, stop: int) -> int:
+        """The last space or line end within the bounds, -1 if there is none."""
+        at = self.text.rfind(" ", start, stop)
+        return max(at, self.text.rfind("\n", max(at, start), stop))
+
+    def _after(self, start: int, stop: int) -> int:
+        at = self.text.find(" ", start, stop)
+        line = self.text.find("\n", start, stop if at < 0 else at)
+        return at if line < 0 else line
+
+    def window(self, runs: int) -> tuple[int, int]:
+        """From the start of a run to the end of one, so many whole runs on either side of the runs at the cut; ends at the node's own ends."""
+        a = b = self.cut
+        for _ in range(runs + 1):
+            a = self._before(self.start, a)
+            if a < 0:
+                break
+        for _ in range(runs + 1):
+            at = self._after(b, self.stop)
+            if at < 0:
+                return (a + 1 if a >= 0 else self.start), self.stop
+            b = at + 1
+        return (a + 1 if a >= 0 else self.start), b - 1
+
+
+def _arrays(lists: pa.ListArray) -> list[np.ndarray]:
+    """The lists as views of their values."""
+    ends, flat = np.asarray(lists.offsets).tolist(), np.asarray(lists.values)
+    return [flat[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def encode_by_runs(texts: pa.Array, known: dict[str, bytes], encode_runs) -> pa.ListArray:
     """Ids of each text from those of its runs between spaces and line ends; encode_runs is asked once for those that aren't known.
 
@@ -269,6 +369,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
     """df with the decoded text of each array of ids; null ids decode to the empty string."""
+    decoded_col = free_name(df, decoded_col)
     schema = T.StructType([*df.schema.fields, T.StructField(decoded_col, T.StringType(), False)])
 
     bounded_batches(df.sparkSession)
