@@ -51,6 +51,38 @@ def test_joins_of_any_leaf(library, leaf, window):
         assert c.encode(t) == library.encode(t, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text_leaf", [2, 3, 7, 40, 512])
+def test_halves_of_whole_texts(library, text_leaf):
+    """Cuts anywhere: inside words, special tokens, combining marks, contractions, runs of spaces."""
+    c, r = bpe.TreeBpe(PATH, text_leaf=text_leaf), random.Random(text_leaf)
+    texts = ["".join(r.choice(["th", "e", " ", "  ", "\n", "ing", "é", "e\u0301", "Σ", "İ", "<|endoftext|>", "日本", "\t", "'s", "123", "!?", " the "]) for _ in range(r.randint(1, 400))) for _ in range(120)] + TEXTS
+    got = c.encode_batch(bpe.pa.array(texts, bpe.pa.string())).to_pylist()
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert c.joins > 40
+
+
+def test_ordinary_documents_take_the_tree(library):
+    """Most documents are joined from halves, by as many joins as there are leaves but one."""
+    import pyarrow.parquet as pq
+
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text").to_pylist()]
+    c, halved, joins = bpe.TreeBpe(PATH), 0, 0
+    for t in texts:
+        before = c.joins
+        assert c.encode(t) == library.encode(t, add_special_tokens=False).ids
+        halved += c.joins > before
+        joins += max(0, (len(t) - 1).bit_length() - 9)
+    assert halved > len(texts) / 2 and c.joins >= joins
+    before = c.joins
+    c.encode_batch(bpe.pa.array(texts))
+    assert c.joins == 2 * before
+
+
+def test_decoded_name_that_is_taken(spark):
+    out = bpe.decode(spark.createDataFrame([([1, 2], "x")], "ids array<int>, Decoded string"), PATH)
+    assert out.columns == ["ids", "Decoded", "_decoded"] and out.head()._decoded == bpe.TreeBpe(PATH).decode([1, 2])
+
+
 def test_codec_rows(spark, library):
     df = docs(spark)
     out = bpe.encode(df, PATH, decoded_col="decoded")
@@ -91,6 +123,30 @@ def test_token_files(spark, library, tmp_path):
     assert found[8] == [library.encode(TEXTS[8], add_special_tokens=False).ids + [1]]
 
 
+def test_lookups_read_byte_ranges(spark, library, tmp_path):
+    """A lookup reads its manifest rows, and of one shard a head, a block or two, a slot and the ids: not the shard."""
+    out = f"file://{tmp_path}/ranges"
+    df = spark.range(20_000).selectExpr("id * 3 AS doc_id", "concat('word', CAST(id AS STRING), ' and more words of it') AS text")
+    token_files.write(df, out, PATH)
+    shards = token_files.manifest(spark, out).collect()
+    size = sum(f.stat().st_size for f in (tmp_path / "ranges").glob("part-*"))
+    assert sum(r.n_docs for r in shards) == 20_000 and size > 500_000
+    for key, text in ((0, "word0 and more words of it"), (29_997, "word9999 and more words of it"), (59_997, "word19999 and more words of it")):
+        counted = []
+        assert token_files.lookup(spark, out, [key], counted) == {key: [library.encode(text, add_special_tokens=False).ids + [1]]}
+        assert len(counted) == 1 and counted[0] < 2000  # the hit and the next occurrence, which isn't there
+    assert token_files.lookup(spark, out, [1, -5, None, 10**9]) == {1: [], -5: [], None: [], 10**9: []}
+
+
+def test_keys_whose_hashes_agree(monkeypatch):
+    monkeypatch.setattr(token_files, "key_hash", lambda k, n, o: np.where(np.asarray(k) % 3 == 0, np.uint64(77), np.asarray(k).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    data = token_files.pack(0, 0, np.arange(30), np.zeros(30, np.uint8), np.full(30, 2), np.arange(60), 2)
+    shard = token_files.Shard(data)
+    assert len(shard.spilled) == 10 and shard.find(shard.keys, shard.null, shard.occurrence)[0].tolist() == list(range(0, 60, 2))
+    index = token_files.Index(lambda at, n: data[at : at + n])
+    assert [index.find(k) for k in (0, 3, 29, 33, 31)] == [[0, 1], [6, 7], [58, 59], None, None]
+
+
 def test_empty_token_files(spark, tmp_path):
     out = f"file://{tmp_path}/none"
     token_files.write(docs(spark).limit(0), out, PATH)
@@ -128,6 +184,18 @@ def test_media_columns(spark):
     assert media.media_columns(df.limit(0)).count() == 0
 
 
+def test_most_documents_have_several_chunks(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    sizes = [len(r.recipe) for r in media.recipes(docs).collect()]
+    assert sum(n == 1 for n in sizes) < len(sizes) / 3 and sum(sizes) > 3 * len(sizes)
+
+
+def test_the_store_goes_with_its_use(spark):
+    df = spark.createDataFrame([(i, f"some text {i} " * 300) for i in range(30)], "doc_id long, text string")
+    assert media.media_columns(df).count() == 30
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("lexivane_chunks_")]
+
+
 def test_hot_chunks_are_dealt(spark, monkeypatch):
     monkeypatch.setattr(media, "HOT_USES", 3)
     rnd = np.random.default_rng(2)
