@@ -140,9 +140,10 @@ def brute_vectors(rows):
     return sorted((k, sum(link[i]), least[i]) for i, (k, _) in enumerate(rows))
 
 
-@pytest.mark.parametrize("block", [512, 5])
-def test_embeddings(spark, monkeypatch, block):
+@pytest.mark.parametrize("block,few", [(1024, 48), (1024, 2), (5, 2), (5, 48)])
+def test_embeddings(spark, monkeypatch, block, few):
     monkeypatch.setattr(embdup, "BLOCK", block)
+    monkeypatch.setattr(embdup, "FEW", few)
     rng = np.random.default_rng(3)
     rows = []
     for c in range(12):
@@ -161,6 +162,31 @@ def test_embeddings(spark, monkeypatch, block):
     assert embdup.components(df.limit(0)).count() == 0
 
 
+def test_embeddings_recall_at_64_dimensions(spark):
+    """20,000 vectors in groups of many sizes, spread about the threshold: links found against all links."""
+    rng, parts = np.random.default_rng(8), []
+    while sum(map(len, parts)) < 20_000:
+        base = rng.normal(size=64)
+        parts.append(base + rng.normal(size=(int(rng.choice([1, 1, 2, 3, 10, 60, 400])), 64)) * rng.choice([0.05, 0.15, 0.22, 0.3]))
+    x = np.concatenate(parts)[:20_000].astype(np.float32)
+    df = spark.createDataFrame(pa.table({"vec_id": pa.array(np.arange(len(x))), "embedding": pa.array(list(x), pa.list_(pa.float32()))}))
+    got = embdup.components(df).toPandas().sort_values("vec_id")
+    u = x.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    links = np.concatenate([(u[a : a + 2000] @ u.T >= 0.95).sum(1) - 1 for a in range(0, len(u), 2000)])
+    found = got["n_links"].to_numpy()
+    assert links.sum() > 100_000 and (found <= links).all() and found.sum() >= 0.999 * links.sum()
+
+
+def test_vectors_of_other_lengths_and_precision():
+    for values in ([1.0, 2.0], [0.1, 0.2], [1e300, 1.0], [1e-300, 0.0]):
+        v = np.array(values)
+        assert embdup.unpacked(embdup.packed(v)).tolist() == embdup._unit(v).tolist()
+    for n, dims in ((1, 1), (10, 2), (1000, 3), (10**9, 64), (10**6, 768)):
+        depth, tables = embdup.shape_for(n, dims)
+        assert depth >= 1 and 1 <= tables < 100
+
+
 def brute_targets(sizes, cap=3.0):
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + ([None] if None in sizes else [])
     weight = {s: 1.0 + i % 3 for i, s in enumerate(names)}
