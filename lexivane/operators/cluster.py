@@ -8,8 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def classes(model: DataFrame, k: int, seed: int = 1, rounds: int = 10) -> DataFrame:
+def classes(model: DataFrame, k: int, seed: int = 1, rounds: int = 100) -> DataFrame:
     """word_id, word and class (0 .. k-1) of each word, by direction."""
     rows = model.select("word_id", "word", array_to_vector(F.col("vector").cast("array<double>")).alias("features"))
     fitted = KMeans(k=k, seed=seed, maxIter=rounds, distanceMeasure="cosine", initMode="k-means||").fit(rows)
     return fitted.transform(rows).select("word_id", "word", F.col("prediction").alias("class"))
+
+
+def settled(model: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """word_id, word, class, and whether the class's mean direction is the nearest of all classes' to the word (`nearest`), as it is where k-means has come to rest."""
+    from lexivane.functions import vector as V
+
+    rows = model.select("word_id", "vector").join(found, "word_id")
+    sums = rows.select("class", F.posexplode("vector").alias("j", "x")).groupBy("class", "j").agg(F.sum(F.col("x").cast("double")).alias("x"))
+    means = sums.groupBy("class").agg(F.array_sort(F.collect_list(F.struct("j", "x"))).alias("v")).orderBy("class").collect()  # k rows
+    near = {m["class"]: V.similarity(F.col("vector"), [p.x for p in m.v]) / sum(p.x**2 for p in m.v) ** 0.5 for m in means}
+    best = F.greatest(*near.values()) if len(near) > 1 else next(iter(near.values()), F.lit(None))
+    own = F.coalesce(*[F.when(F.col("class") == c, x) for c, x in near.items()]) if near else F.lit(None)
+    return rows.select("word_id", "word", "class", (own >= best - 1e-9).alias("nearest"))

@@ -16,6 +16,7 @@ from lexivane.operators.pca import scores
 from lexivane.operators.terms import Term, parse_terms
 
 DEFAULT_N, FULL_N = 40, 200
+#: Fixed value: what an unknown word is answered with.
 OOV_MESSAGE = "Output of dictionary word!"
 
 
@@ -156,12 +157,17 @@ def _sort_keys(text: str) -> list:
     return [F.desc(k[1:]) if k.startswith("-") else F.asc(k.lstrip("+")) for k in (x.strip() for x in text.split(",")) if k]
 
 
-def batch_topk(model: DataFrame, queries: DataFrame, k: int = 10, rows: int = 1 << 16, block: int = 2048) -> DataFrame:
+#: Words whose values are held at a time.
+SLICE = 2048
+
+
+def batch_topk(model: DataFrame, queries: DataFrame, k: int = 10, rows: int = 1 << 14, block: int = 1024) -> DataFrame:
     """query_id, word_id, word, value, rank: the k nearest words of each query vector (query_id, vector).
 
     A matrix product in blocks: words are dealt over the rows of a grid and queries over its
-    columns, each cell multiplies about `rows` words with about `block` queries and passes
-    on its k best per query. A task's memory is bounded by the cell, whatever the sizes.
+    columns, each cell multiplies about `rows` words with about `block` queries, SLICE words
+    at a time, and passes on its k best per query. A task's memory is bounded by the cell's
+    vectors and one slice of values, whatever the sizes.
     """
     spark = model.sparkSession
     unit_q = queries.select("query_id", V.unit(F.col("vector")).alias("q")).filter("q is not null")
@@ -178,11 +184,22 @@ def batch_topk(model: DataFrame, queries: DataFrame, k: int = 10, rows: int = 1
     def cell(w: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(w) or not len(q):
             return pd.DataFrame({"query_id": np.zeros(0, np.int64), "word_id": np.zeros(0, np.int32), "word": np.zeros(0, object), "value": np.zeros(0)})
-        w = w.sort_values("word_id")
-        values = np.array(w["vector"].tolist(), dtype=np.float64) @ np.array(q["q"].tolist()).T
-        values = np.where(np.isnan(values), -2.0, values)
-        at = np.argsort(-values, axis=0, kind="stable")[: min(k, len(w))]
-        return pd.DataFrame({"query_id": np.tile(q["query_id"].to_numpy(), len(at)), "word_id": w["word_id"].to_numpy()[at].ravel(), "word": w["word"].to_numpy(dtype=object)[at].ravel(), "value": np.take_along_axis(values, at, 0).ravel()})
+        asked_for, x, held = q["query_id"].to_numpy(), np.array(q["q"].tolist()).T, []
+        for at in range(0, len(w), SLICE):
+            part = w.iloc[at : at + SLICE]
+            values = np.array(part["vector"].tolist(), dtype=np.float64) @ x
+            values[np.isnan(values)] = -2.0
+            # All that are not less than the k-th best of the slice: ties are settled over all slices.
+            least = np.partition(values, -k, axis=0)[-k] if k < len(part) else np.full(len(asked_for), -np.inf)
+            i, j = np.nonzero(values >= least)
+            held.append(pd.DataFrame({"query_id": asked_for[j], "word_id": part["word_id"].to_numpy()[i], "word": part["word"].to_numpy(dtype=object)[i], "value": values[i, j]}))
+            if len(held) > 4:
+                held = [best(pd.concat(held))]
+        return best(pd.concat(held))
+
+    def best(found: pd.DataFrame) -> pd.DataFrame:
+        found = found.sort_values(["query_id", "value", "word_id"], ascending=[True, False, True])
+        return found[found.groupby("query_id").cumcount() < k]
 
     found = words.groupBy("i", "j").cogroup(asked.groupBy("i", "j")).applyInPandas(cell, "query_id long, word_id int, word string, value double")
     order = Window.partitionBy("query_id").orderBy(F.desc("value"), "word_id")

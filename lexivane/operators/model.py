@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexivane.functions import vector as V
+from lexivane.storage import remove, written
 
 
 @dataclass
@@ -32,7 +33,7 @@ class VectorModel:
 
 
 class Registry:
-    """Models by path. A path that is asked for loads once; loading it explicitly loads anew, and until then a model stays as it was loaded."""
+    """Models by path. A path that is asked for loads once; loading it explicitly loads anew, and until then a model stays as it was loaded: in a table of unit vectors of the registry's own, whatever becomes of the file."""
 
     def __init__(self):
         self._models: dict[str, VectorModel] = {}
@@ -41,11 +42,11 @@ class Registry:
         from lexivane.sources.model_io import read_model
 
         try:
-            model = read_model(spark, path, binary).persist()
+            model = read_model(spark, path, binary)
         except FileNotFoundError:
             return False
         self.drop(path)
-        self._models[path] = model
+        self._models[path] = VectorModel(written(model.df), model.dim).persist()
         return True
 
     def get(self, spark, path: str, binary: bool = True) -> VectorModel:
@@ -56,6 +57,7 @@ class Registry:
     def drop(self, path: str) -> None:
         if (m := self._models.pop(path, None)) is not None:
             m.df.unpersist()
+            remove(m.df)
 
     def unload_all(self) -> bool:
         for path in list(self._models):

@@ -13,8 +13,9 @@ from lexivane.functions import vector as V
 def scores(df: DataFrame, vector_col: str, k: int, centered: bool, names: list[str]) -> DataFrame:
     """df with its first k principal scores (U times S), each signed so that its largest coordinate is positive.
 
-    Tasks sum outer products, dim x dim numbers each; the driver solves that small matrix,
-    and scores are dot products with its leading vectors. No size of df is too large.
+    Tasks sum outer products, dim x dim numbers each, and their sums are added up by a
+    grouped aggregation, so that the driver gets one such matrix, which it solves; scores
+    are dot products with its leading vectors. dim is bounded by that, rows are not.
     """
 
     def run(frames):
@@ -26,14 +27,17 @@ def scores(df: DataFrame, vector_col: str, k: int, centered: bool, names: list[s
                 outer = x.T @ x if outer is None else outer + x.T @ x
                 n += len(x)
         if n:
-            yield pd.DataFrame({"n": [n], "total": [total.tolist()], "outer": [outer.ravel().tolist()]})
+            # Row -1 has the sums of the components, and at its end the number of rows.
+            yield pd.DataFrame({"i": np.arange(-1, len(total)), "values": [np.append(total, n), *outer]})
 
-    parts = df.select(vector_col).mapInPandas(run, "n long, total array<double>, outer array<double>").collect()
+    sums = df.select(vector_col).mapInPandas(run, "i int, values array<double>").select("i", F.posexplode("values").alias("j", "x"))
+    parts = {(p.i, p.j): p.x for p in sums.groupBy("i", "j").agg(F.sum("x").alias("x")).collect()}
     if not parts:
         return df.select("*", *[F.lit(None).cast("double").alias(x) for x in names])
-    n = sum(p.n for p in parts)
-    mean = sum(np.array(p.total) for p in parts) / n
-    gram = sum(np.array(p.outer) for p in parts).reshape(len(mean), -1)
+    dim = max(i for i, _ in parts) + 1
+    n = parts[-1, dim]
+    mean = np.array([parts[-1, j] for j in range(dim)]) / n
+    gram = np.array([[parts[i, j] for j in range(dim)] for i in range(dim)])
     shift = mean if centered else np.zeros_like(mean)
     if centered:
         gram = gram - n * np.outer(mean, mean)

@@ -1,18 +1,29 @@
 """Training of word vectors.
 
-`auto` takes the seeded initial vectors where training can't begin (no objective, or fewer
-words per worker than the longest line has), Spark ML's skip-gram with hierarchical softmax
-where that is what is asked for, and the trainer of this module for the rest: continuous
-bag of words, negative sampling and sentence vectors by the published algorithm. Per
-iteration each task trains on its lines from the weights that all start from, and the
-tasks' weights are averaged by the words that they saw, so runs with the same seed and
-partitions agree.
+`auto` trains with Spark ML's skip-gram with hierarchical softmax where that is what is
+asked for, and with the trainer of this module for the rest: continuous bag of words,
+negative sampling and sentence vectors by the published algorithm. Without an objective (no
+hierarchical softmax, no negative samples) there is nothing to train, and the vectors are
+the seeded initial ones, as with `init`. The size of the corpus decides nothing.
+
+Frequent words are dropped line by line, by draws that depend on the line and the seed
+alone; lines are rows, whatever their ids. Per iteration each of `threads` partitions
+(fewer where that leaves less than LEAST_WORDS words to each) trains on its lines from the
+weights that all start from, and the partitions' weights are averaged by the words that
+they saw, so runs with the same seed and partitions agree. A partition trains on BATCH
+words at a time, fewer where there are less than four times as many different ones: their
+windows are computed from the same weights.
+
+Weights of the whole vocabulary are held by every task, as the algorithm does, so the
+vocabulary's words and ids are broadcast to them too: that bounds the vocabulary, not the
+corpus.
 """
 
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass
+import zlib
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -26,18 +37,22 @@ from lexivane.operators.corpus import tokens_of
 from lexivane.operators.model import VectorModel
 from lexivane.operators.seeded import initial_vectors, vector_of
 from lexivane.operators.vocab import build_vocab
+from lexivane.storage import written
 
 THREADS = 12
-#: Longer lines count as this many words where it is judged whether training can begin.
-LONGEST_LINE = 1000
+LEAST_WORDS = 20_000
+BATCH = 64
 
 
 @dataclass
 class Trained:
+    """losses: the mean loss of each iteration by the module's own trainer, none for the others."""
+
     model: VectorModel
     vectors: DataFrame
     vocab: DataFrame
     classes: DataFrame | None = None
+    losses: list[float] = field(default_factory=list)
 
 
 def huffman(counts: list[int]) -> tuple[list[list[int]], list[list[int]]]:
@@ -66,131 +81,195 @@ def huffman(counts: list[int]) -> tuple[list[list[int]], list[list[int]]]:
     return codes, points
 
 
-def subsample(corpus: DataFrame, vocab: DataFrame, t: float, seed: int = 1) -> DataFrame:
-    """doc_id and words of each line with frequent words dropped at random: kept with probability (sqrt(f/t) + 1) * t / f."""
-    total = vocab.agg(F.sum("count").alias("n")).head().n or 1
-    f = F.col("count") / F.lit(float(total))
-    keep = F.least(F.lit(1.0), (F.sqrt(f / t) + 1) * t / f) if t > 0 else F.lit(1.0)
-    words = corpus.select("doc_id", F.posexplode(tokens_of(F.col("line"))).alias("pos", "word"))
-    drawn = words.join(vocab.select("word", keep.alias("keep"), "word_id"), "word").filter(F.pmod(F.xxhash64("doc_id", "pos", F.lit(seed)), F.lit(1 << 24)) / float(1 << 24) < F.col("keep"))
-    return drawn.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "word", "word_id"))), lambda x: F.struct(x["word"].alias("word"), x["word_id"].alias("id"))).alias("words"))
+def keep_chances(counts: np.ndarray, t: float) -> np.ndarray:
+    """How likely an occurrence of each word stays: (sqrt(f/t) + 1) * t / f, at most 1."""
+    if t <= 0:
+        return np.ones(len(counts))
+    f = np.maximum(counts, 1) / max(1, counts.sum())
+    return np.minimum(1.0, (np.sqrt(f / t) + 1) * t / f)
+
+
+def subsampled(corpus: DataFrame, vocab: list, t: float, seed: int = 1) -> DataFrame:
+    """words, and ids (places in the vocabulary), of each line with words that aren't in the vocabulary left out and frequent ones dropped at random; one narrow stage."""
+    known = {r.word: i for i, r in enumerate(vocab)}
+    sent = corpus.sparkSession.sparkContext.broadcast((known, keep_chances(np.array([r["count"] for r in vocab], np.float64), t)))
+
+    def run(frames):
+        at, keep = sent.value
+        for pdf in frames:
+            words, found = [], []
+            for tokens in pdf["tokens"]:
+                tokens = [] if tokens is None else list(tokens)
+                names = [w for w in tokens if w in at]
+                have = np.array([at[w] for w in names], np.int64)
+                stay = np.random.default_rng([seed, zlib.crc32(" ".join(tokens).encode())]).random(len(have)) < keep[have]
+                words.append([w for w, x in zip(names, stay) if x])
+                found.append(have[stay].astype(np.int32))
+            yield pd.DataFrame({"words": words, "ids": found})
+
+    return corpus.select(tokens_of(F.col("line")).alias("tokens")).mapInPandas(run, "words array<string>, ids array<int>")
 
 
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def train_lines(lines: list[list[int]], weights: np.ndarray, outputs: np.ndarray, settings: dict, rate: tuple[float, float], rng: np.random.Generator) -> tuple[int, float]:
+def windows(lines: list[np.ndarray], window: int, rng: np.random.Generator, docs: frozenset = frozenset()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All words of the lines in a row, and the (place, context word) pairs of their shrunk windows; a line's document word is in every window of it."""
+    words = np.concatenate([*lines, np.zeros(0, np.int64)]).astype(np.int64)
+    n = len(words)
+    line = np.repeat(np.arange(len(lines)), [len(x) for x in lines])
+    reach = window - rng.integers(0, max(1, window), n)
+    places, contexts = [], []
+    for d in range(1, window + 1):
+        if d >= n:
+            break
+        near = line[d:] == line[:-d]
+        right, left = np.flatnonzero(near & (reach[:-d] >= d)), np.flatnonzero(near & (reach[d:] >= d))
+        places += [right, left + d]
+        contexts += [words[right + d], words[left]]
+    if docs:
+        first = np.array([x[0] if len(x) and int(x[0]) in docs else -1 for x in lines], np.int64)[line]
+        begins = np.concatenate([[0], np.cumsum([len(x) for x in lines])[:-1]])[line] if n else np.zeros(0, np.int64)
+        # Not for the document word itself, nor where the window has it already.
+        some = np.flatnonzero((first >= 0) & (words != first) & (np.arange(n) - begins > reach))
+        places.append(some)
+        contexts.append(first[some])
+    place, context = (np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in (places, contexts))
+    order = np.argsort(place, kind="stable")
+    return words, place[order], context[order]
+
+
+def step(weights: np.ndarray, outputs: np.ndarray, sources: np.ndarray, owner: np.ndarray, targets: np.ndarray, settings: dict, alpha: float, rng: np.random.Generator) -> tuple[float, int]:
+    """One update: example k has the mean of the weights of the sources that owner gives it, and is to tell targets[k]. Loss and examples."""
+    n = len(targets)
+    share = np.bincount(owner, minlength=n)
+    h = np.zeros((n, weights.shape[1]))
+    np.add.at(h, owner, weights[sources])
+    h /= np.maximum(1, share)[:, None]
+    nodes, labels, real = [], [], []
+    if settings["hs"]:
+        nodes.append(settings["points"][targets])
+        labels.append(1.0 - settings["codes"][targets])
+        real.append(settings["paths"][targets])
+    if settings["negative"]:
+        drawn = settings["table"][rng.integers(0, len(settings["table"]), (n, settings["negative"]))]
+        nodes.append(settings["inner"] + np.column_stack([targets, drawn]))
+        labels.append(np.column_stack([np.ones(n), np.zeros(drawn.shape)]))
+        real.append(np.column_stack([np.ones(n, bool), drawn != targets[:, None]]))
+    node, y, use = (np.concatenate(x, axis=1) for x in (nodes, labels, real))
+    theta = outputs[node]
+    p = _sigmoid(np.einsum("nts,ns->nt", theta, h))
+    loss = -float((np.log(np.where(y > 0, p, 1 - p) + 1e-12) * use).sum())
+    g = (y - p) * use * alpha
+    error = np.einsum("nt,nts->ns", g, theta)
+    np.add.at(outputs, node[use], g[use][:, None] * np.repeat(h, use.sum(1), axis=0))
+    np.add.at(weights, sources, error[owner])
+    return loss, n
+
+
+def train_lines(lines: list[np.ndarray], weights: np.ndarray, outputs: np.ndarray, settings: dict, rate: tuple[float, float], rng: np.random.Generator) -> tuple[int, float]:
     """One pass over lines of word ids, changing both weight matrices: words trained and mean loss."""
-    cbow, hs, negative, window = settings["cbow"], settings["hs"], settings["negative"], settings["window"]
-    codes, points, table, docs = settings["codes"], settings["points"], settings["table"], settings["doc_ids"]
-    inner, total, seen, loss, steps = settings["inner"], max(1, sum(map(len, lines))), 0, 0.0, 0
-    for line in lines:
-        doc = line[0] if line and line[0] in docs else None
-        for i, word in enumerate(line):
-            alpha = max(rate[0] + (rate[1] - rate[0]) * seen / total, settings["alpha"] * 1e-4)
-            seen += 1
-            b = window - int(rng.integers(0, max(1, window)))
-            context = [line[j] for j in range(max(0, i - b), min(len(line), i + b + 1)) if j != i]
-            if doc is not None and word != doc and doc not in context:
-                context.append(doc)
-            if not context:
-                continue
-            for sources in [context] if cbow else [[c] for c in context]:
-                h = weights[sources].mean(0) if cbow else weights[sources[0]]
-                target, label = [], []
-                if hs:
-                    target += points[word]
-                    label += [1 - c for c in codes[word]]
-                if negative:
-                    drawn = table[rng.integers(0, len(table), negative)]
-                    target += [inner + word, *(inner + int(d) for d in drawn if d != word)]
-                    label += [1] + [0] * int((drawn != word).sum())
-                if not target:
-                    continue
-                theta, y = outputs[target], np.array(label, np.float64)
-                p = _sigmoid(theta @ h)
-                loss -= float(np.log(np.where(y > 0, p, 1 - p) + 1e-12).sum())
-                steps += 1
-                g = (y - p) * alpha
-                error = g @ theta
-                np.add.at(outputs, target, g[:, None] * h)
-                np.add.at(weights, sources, error)
-    return seen, loss / max(1, steps)
+    words, place, context = windows(lines, settings["window"], rng, settings["doc_ids"])
+    n, loss, examples = len(words), 0.0, 0
+    if not settings["hs"] and not settings["negative"]:
+        return n, 0.0
+    batch = max(1, min(BATCH, len(weights) // 4))
+    for start in range(0, n, batch):
+        a, b = np.searchsorted(place, [start, start + batch])
+        if a == b:
+            continue
+        alpha = max(rate[0] + (rate[1] - rate[0]) * start / n, settings["alpha"] * 1e-4)
+        if settings["cbow"]:
+            at, owner = np.unique(place[a:b], return_inverse=True)
+            found = step(weights, outputs, context[a:b], owner, words[at], settings, alpha, rng)
+        else:
+            found = step(weights, outputs, context[a:b], np.arange(b - a), words[place[a:b]], settings, alpha, rng)
+        loss, examples = loss + found[0], examples + found[1]
+    return n, loss / max(1, examples)
 
 
 def train(corpus: DataFrame, size: int = 100, window: int = 5, sample: float = 1e-3, hs: int = 1, negative: int = 0, cbow: int = 0, iter: int = 5, min_count: int = 5, alpha: float | None = None, threads: int = THREADS, classes: int = 0, sentence_vectors: bool = False, vocab: DataFrame | None = None, mode: str = "auto", seed: int = 1, decimals: int | None = None, partitions: int | None = None) -> Trained:
-    """Vectors of the words of a corpus (doc_id, line). mode: auto, init, ml or own."""
+    """Vectors of the words of a corpus (doc_id, line). mode: auto, init, ml or own. threads: how many partitions train side by side, unless partitions says so."""
     if alpha is None:
         alpha = 0.05 if cbow else 0.025
     if sentence_vectors:
         min_count = 1
-    vocab = (build_vocab(corpus, min_count) if vocab is None else vocab).persist()
-    facts = corpus.select(F.size(tokens_of(F.col("line"))).alias("n")).agg(F.sum("n").alias("words"), F.max("n").alias("longest")).head()
-    words, longest = facts.words or 0, facts.longest or 0
+    vocab = build_vocab(corpus, min_count) if vocab is None else vocab
+    losses: list[float] = []
     if mode == "auto":
-        idle = (not hs and not negative) or words / max(1, threads) < min(longest, LONGEST_LINE) + 1
-        mode = "init" if idle else "ml" if hs and not negative and not cbow and not sentence_vectors else "own"
+        mode = "init" if not hs and not negative else "ml" if hs and not negative and not cbow and not sentence_vectors else "own"
     if mode == "init":
         vectors = initial_vectors(vocab, size, decimals)
-    elif mode == "ml":
-        lines = subsample(corpus, vocab, sample, seed).select(F.transform("words", lambda x: x["word"]).alias("words"))
-        fitted = Word2Vec(vectorSize=size, windowSize=window, minCount=1, stepSize=alpha, maxIter=iter, numPartitions=partitions or 1, seed=seed, inputCol="words", outputCol="out").fit(lines)
-        from pyspark.ml.functions import vector_to_array
-
-        learned = fitted.getVectors().select("word", vector_to_array("vector").cast("array<float>").alias("learned"))
-        start = initial_vectors(vocab, size)
-        vectors = start.join(learned, "word", "left").select("word_id", "word", F.coalesce("learned", "vector").alias("vector"))
-    elif mode == "own":
-        vectors = _own(corpus, vocab, size, window, sample, hs, negative, cbow, iter, alpha, sentence_vectors, seed, partitions, words)
+    elif mode in ("ml", "own"):
+        vocab = written(vocab)
+        rows = vocab.orderBy("word_id").collect()  # every task holds the whole vocabulary's weights, so the driver can hold its words
+        lines = written(subsampled(corpus, rows, sample, seed))  # read once and settled
+        n_words = lines.agg(F.sum(F.size("ids")).alias("n")).head().n or 0
+        k = partitions or max(1, min(threads, int(n_words // LEAST_WORDS)))
+        if mode == "ml":
+            fitted = Word2Vec(vectorSize=size, windowSize=window, minCount=1, stepSize=alpha, maxIter=iter, numPartitions=k, seed=seed, inputCol="words", outputCol="out").fit(lines.select("words"))
+            from pyspark.ml.functions import vector_to_array
+
+            learned = fitted.getVectors().select("word", vector_to_array("vector").cast("array<float>").alias("learned"))
+            start = initial_vectors(vocab, size)
+            vectors = start.join(learned, "word", "left").select("word_id", "word", F.coalesce("learned", "vector").alias("vector"))
+        else:
+            vectors, losses = _own(lines, rows, size, window, hs, negative, cbow, iter, alpha, sentence_vectors, seed, k)
     else:
         raise ValueError(f"unknown mode: {mode}")
     model = VectorModel.from_vectors(vectors, size)
-    return Trained(model, vectors, vocab, word_classes(model.df, classes) if classes > 0 else None)
+    return Trained(model, vectors, vocab, word_classes(model.df, classes) if classes > 0 else None, losses)
 
 
-def _own(corpus, vocab, size, window, sample, hs, negative, cbow, iter, alpha, sentence_vectors, seed, partitions, words) -> DataFrame:
-    spark = corpus.sparkSession
-    rows = vocab.orderBy("word_id").collect()  # a model is trained from weights that every task holds whole, so its vocabulary fits on the driver
+def _padded(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists as rows of one width, and which of their places are real."""
+    wide = max([1, *map(len, lists)])
+    out, real = np.zeros((len(lists), wide), np.int64), np.zeros((len(lists), wide), bool)
+    for i, x in enumerate(lists):
+        out[i, : len(x)], real[i, : len(x)] = x, True
+    return out, real
+
+
+def _own(lines: DataFrame, rows: list, size, window, hs, negative, cbow, iter, alpha, sentence_vectors, seed, k) -> tuple[DataFrame, list[float]]:
+    spark = lines.sparkSession
     n, counts = len(rows), [r["count"] for r in rows]
     inner = max(1, n - 1) if hs else 0
     codes, points = huffman(counts) if hs else ([], [])
+    codes, paths = _padded(codes)
     power = np.array(counts, dtype=np.float64) ** 0.75
     table = np.repeat(np.arange(n), np.maximum(1, (power / power.sum() * 100_000).astype(int))) if negative else np.zeros(1, int)
-    docs = frozenset(r.word_id for r in rows if r.word.startswith("doc_id:")) if sentence_vectors else frozenset()
+    docs = frozenset(i for i, r in enumerate(rows) if r.word.startswith("doc_id:")) if sentence_vectors else frozenset()
     weights = np.stack([vector_of(r.word_id, size) for r in rows]) if n else np.zeros((0, size))
     outputs = np.zeros((inner + (n if negative else 0), size))
-    settings = {"cbow": cbow, "hs": hs, "negative": negative, "window": window, "codes": codes, "points": points, "table": table, "doc_ids": docs, "inner": inner, "alpha": alpha}
-    lines = subsample(corpus, vocab, sample, seed).select("doc_id", F.transform("words", lambda x: x["id"]).alias("ids"))
-    k = partitions or max(1, min(spark.sparkContext.defaultParallelism, int(words // 20_000)))
-    lines = lines.repartition(k, "doc_id").sortWithinPartitions("doc_id").persist()
-    try:
-        for turn in range(iter):
-            sent = spark.sparkContext.broadcast((weights, outputs, settings))
-            rates = tuple(alpha * max(1e-4, 1 - (turn + e) / iter) for e in (0, 1))
-
-            def run(frames, sent=sent, rates=rates, turn=turn):
-                w, o, s = sent.value
-                w, o, seen, losses = w.copy(), o.copy(), 0, []
-                rng = np.random.default_rng([seed, turn])
-                for pdf in frames:
-                    m, loss = train_lines([list(map(int, x)) for x in pdf["ids"]], w, o, s, rates, rng)
-                    seen += m
-                    losses.append(loss)
-                if seen:
-                    yield pd.DataFrame({"seen": [seen], "weights": [w.tobytes()], "outputs": [o.tobytes()]})
-
-            parts = lines.select("ids").mapInPandas(run, "seen long, weights binary, outputs binary").toLocalIterator()
-            total, w_sum, o_sum = 0, np.zeros_like(weights), np.zeros_like(outputs)
-            for p in parts:
-                total += p.seen
-                w_sum += p.seen * np.frombuffer(p.weights).reshape(weights.shape)
-                o_sum += p.seen * np.frombuffer(p.outputs).reshape(outputs.shape)
-            if total:
-                weights, outputs = w_sum / total, o_sum / total
-            sent.unpersist()
-    finally:
-        lines.unpersist()
+    settings = {"cbow": cbow, "hs": hs, "negative": negative, "window": window, "codes": codes, "points": _padded(points)[0], "paths": paths, "table": table, "doc_ids": docs, "inner": inner, "alpha": alpha}
+    # Dealt by what a line holds and sorted, so that partitions are the same in each run.
+    dealt = lines.select("ids").repartition(k, F.xxhash64("ids")).sortWithinPartitions("ids").persist()
+    losses = []
+    for turn in range(iter):
+        sent = spark.sparkContext.broadcast((weights, outputs, settings))
+        rates = tuple(alpha * max(1e-4, 1 - (turn + e) / iter) for e in (0, 1))
+
+        def run(frames, sent=sent, rates=rates, turn=turn):
+            w, o, s = sent.value
+            w, o, seen, loss = w.copy(), o.copy(), 0, 0.0
+            rng = np.random.default_rng([seed, turn])
+            for pdf in frames:
+                m, mean = train_lines(list(pdf["ids"]), w, o, s, rates, rng)
+                seen, loss = seen + m, loss + m * mean
+            if seen:
+                yield pd.DataFrame({"seen": [seen], "loss": [loss], "weights": [w.tobytes()], "outputs": [o.tobytes()]})
+
+        total, lost, w_sum, o_sum = 0, 0.0, np.zeros_like(weights), np.zeros_like(outputs)
+        for p in dealt.mapInPandas(run, "seen long, loss double, weights binary, outputs binary").toLocalIterator():
+            total, lost = total + p.seen, lost + p.loss
+            w_sum += p.seen * np.frombuffer(p.weights).reshape(weights.shape)
+            o_sum += p.seen * np.frombuffer(p.outputs).reshape(outputs.shape)
+        if total:
+            weights, outputs = w_sum / total, o_sum / total
+            losses.append(lost / total)
+        sent.unpersist()
+    dealt.unpersist()
     flat = pa.array(weights.astype(np.float32).ravel())
-    made = pa.table({"word_id": pa.array(np.arange(n), pa.int32()), "word": pa.array([r.word for r in rows], pa.string()), "vector": pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * size, pa.int32()), flat)})
-    return spark.createDataFrame(made)
+    made = pa.table({"word_id": pa.array([r.word_id for r in rows], pa.int32()), "word": pa.array([r.word for r in rows], pa.string()), "vector": pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * size, pa.int32()), flat)})
+    return spark.createDataFrame(made), losses

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexivane.operators.corpus import tokens_of
@@ -18,12 +18,17 @@ def word_counts(corpus: DataFrame, min_count: int = 5) -> DataFrame:
 
 
 def build_vocab(corpus: DataFrame, min_count: int = 5) -> DataFrame:
-    """word_id, word, count: `</s>` is 0 and counts lines, then by count, ties by first appearance (doc_id, position)."""
-    # Document and position as one number, which hash aggregation can hold; a pair would have every token sorted.
-    row = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)")
+    """word_id, word, count: `</s>` is 0 and counts lines, then by count, ties by first appearance (doc_id, position), then by word. Lines without an id count as before all others."""
+    ends = corpus.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).head()
+    # Document and position as one number, which hash aggregation can hold; a pair would have every token sorted. A long holds
+    # them where ids span less than 2^31; else a decimal does, which is slower.
+    if ends.lo is None or ends.hi - ends.lo < (1 << 31) - 2:
+        row = F.coalesce(F.col("doc_id") - F.lit(ends.lo or 0) + 1, F.lit(0)) * F.lit(1 << 31)
+    else:
+        row = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)")
     words = corpus.select(row.alias("row"), F.posexplode(tokens_of(F.col("line"))).alias("pos", "word"))
     found = words.groupBy("word").agg(F.count("*").alias("count"), F.min(F.col("row") + F.col("pos")).alias("first")).filter((F.col("count") >= min_count) & (F.col("word") != END))
-    ranked = numbered(found, [F.desc("count"), F.col("first")], "word_id").select(F.col("word_id").cast("int").alias("word_id"), "word", "count")
+    ranked = numbered(found, [F.desc("count"), F.col("first"), F.col("word")], "word_id").select(F.col("word_id").cast("int").alias("word_id"), "word", "count")
     end = corpus.agg(F.count("*").alias("count")).select(F.lit(0).alias("word_id"), F.lit(END).alias("word"), "count")
     return end.unionByName(ranked)
 
@@ -37,5 +42,5 @@ def read_vocab(spark, path: str) -> DataFrame:
     """word_id, word, count of a saved vocabulary; ids by its order: `</s>` first, then by count, ties as they stand."""
     lines = spark.read.text(path).select(F.split("value", " ").alias("p"), F.monotonically_increasing_id().alias("at"))
     rows = lines.filter(F.size("p") >= 2).select(F.element_at("p", 1).alias("word"), F.element_at("p", 2).cast("long").alias("count"), "at")
-    order = Window.orderBy(F.col("word") != END, F.desc("count"), "at")
-    return rows.select((F.row_number().over(order) - 1).cast("int").alias("word_id"), "word", "count")
+    ranked = numbered(rows.withColumn("rest", F.col("word") != END), [F.col("rest"), F.desc("count"), F.col("at")], "word_id", 0)
+    return ranked.select(F.col("word_id").cast("int").alias("word_id"), "word", "count")

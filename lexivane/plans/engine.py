@@ -28,8 +28,9 @@ ARGUMENTS = {
 class Engine:
     """`with Engine(spark, workspace, tables) as e: e.run('word2vec_distance "a + b" --limit 3')`"""
 
-    def __init__(self, spark: SparkSession, workspace: str, tables: dict[str, DataFrame] | None = None, id_col: str = "_id", compat: bool = False, tokenizer=None):
-        self.spark, self.workspace, self.tables, self.id_col, self.compat, self.tokenizer = spark, workspace.rstrip("/"), dict(tables or {}), id_col, compat, tokenizer
+    def __init__(self, spark: SparkSession, workspace: str, tables: dict[str, DataFrame] | None = None, id_col: str = "_id", compat: bool = False, tokenizer=None, train_mode: str = "auto"):
+        """train_mode: how word2vec_train makes vectors; "init" leaves the seeded ones, as where a corpus is too small for its workers to begin."""
+        self.spark, self.workspace, self.tables, self.id_col, self.compat, self.tokenizer, self.train_mode = spark, workspace.rstrip("/"), dict(tables or {}), id_col, compat, tokenizer, train_mode
         self.registry = Registry()
 
     def __enter__(self) -> "Engine":
@@ -71,7 +72,7 @@ class Engine:
         vocab = read_vocab(self.spark, self.path(read_vocab_file, "")) if read_vocab_file else None
         options = {k: kind(v) for k, kind, v in (("threads", int, threads), ("size", int, size), ("alpha", float, alpha), ("window", int, window), ("sample", float, sample), ("iter", int, iter), ("min_count", int, min_count), ("classes", int, classes)) if v}
         # Any value given, even 0, keeps every word, as with the option itself.
-        made = train(corpus, hs=int(hs), negative=int(negative), cbow=int(cbow), sentence_vectors=bool(sentence_vectors), vocab=vocab, **options)
+        made = train(corpus, hs=int(hs), negative=int(negative), cbow=int(cbow), sentence_vectors=bool(sentence_vectors), vocab=vocab, mode=self.train_mode, **options)
         if save_vocab_file:
             save_vocab(made.vocab, self.path(save_vocab_file, ""))
         out = self.path(output_file, "_w2v.bin")
@@ -91,7 +92,7 @@ class Engine:
 
     def word2vec_distance(self, term=None, offset=0, limit=10, n_sort=40, threshold=-1, normalizer=None, prefix_filter=None, stop_filter=None, output_filter=None, mecab_option=None, file_path=None, binary="1", expander_mode=None, is_phrase=None, edit_distance=None, pca=0, pca_centered="1", sentence_vectors=None, table=None, column=None, sortby=None) -> Result:
         model = self.registry.get(self.spark, self.path(file_path, "_w2v.bin"), _on(binary))
-        return distance(model.df, term or "", int(offset), int(limit), int(n_sort), float(threshold), normalizer or "auto", prefix_filter, stop_filter, output_filter, _on(is_phrase), _on(edit_distance), int(pca), _on(pca_centered), _on(sentence_vectors), self.tables[table] if table else None, self.id_col, column, sortby, _on(expander_mode), self.compat)
+        return distance(model.df, term or "", int(offset), int(limit), int(n_sort), float(threshold), normalizer or "auto", prefix_filter, stop_filter, output_filter, _on(is_phrase), _on(edit_distance), int(pca), _on(pca_centered), _on(sentence_vectors), self.tables[table] if table else None, self.id_col, column, sortby, _on(expander_mode), self.compat, None if mecab_option in (None, "NONE") else self.tokenizer)
 
     def expand(self, term: str, file_path=None, binary="1") -> str:
         """The expander function; threshold and limit come from the environment if they are set there."""

@@ -84,6 +84,48 @@ SELECT word, {a} AS score FROM hits"""
 
 _over = "list_inner_product(model.v, q.v)"
 
+_train_lines = _corpus(_line(_low("p_name"), _low("p_type"), _low("p_brand")), "part", "p_partkey")
+_supplier_lines = _corpus(f"'doc_id:' || s_suppkey || ' ' || {_line(f'replace({_low("s_name")}, chr(32), chr(95))', f'replace({_low("n_name")}, chr(32), chr(95))')}", "supplier LEFT JOIN nation ON s_nationkey = n_nationkey", "s_suppkey")
+
+
+def _pca(centered: bool) -> str:
+    """Two principal scores by squaring the normalised Gram matrix until it is the projection on its first direction; then again without that direction."""
+    shift = "list_transform(generate_series(1, 64), lambda k: list_avg(list_transform(m, lambda r: r[k])))" if centered else "list_transform(generate_series(1, 64), lambda k: 0.0::DOUBLE)"
+    n = "generate_series(1, len(m))"
+    trace = f"list_sum(list_transform({n}, lambda i: m[i][i]))"
+    square = f"list_transform(m, lambda r: list_transform(m, lambda c: list_inner_product(r, c)))"
+
+    def powers(name: str, source: str) -> str:
+        scaled = f"list_transform(m, lambda r: list_transform(r, lambda x: x / {trace}))"
+        return f"{name}(i, m) AS (SELECT 0, {scaled} FROM (SELECT g AS m FROM {source}) UNION ALL SELECT i + 1, {scaled} FROM (SELECT i, {square} AS m FROM {name} WHERE i < 22))"
+
+    def axis(name: str, power: str, source: str) -> str:
+        size = "list_sum(list_transform(generate_series(1, len(g)), lambda i: list_inner_product(g[i], m[i])))"
+        return f"{name} AS (SELECT {size} AS size, list_transform(m[best], lambda x: x / sqrt(m[best][best])) AS u FROM (SELECT m, g, list_position(list_transform({n}, lambda i: m[i][i]), list_max(list_transform({n}, lambda i: m[i][i]))) AS best FROM {power}, {source} WHERE i = 22))"
+
+    def score(name: str) -> str:
+        return f"list_transform({name}.u, lambda x: x * sqrt({name}.size) * CASE WHEN list_max({name}.u) >= -list_min({name}.u) THEN 1 ELSE -1 END)"
+
+    return f"""WITH RECURSIVE {_emb},
+{_query({7: 1})},
+{_hits({7: 1})},
+near AS MATERIALIZED (SELECT h.word, h.value, m.v, h.word_id AS place FROM hits h JOIN model m USING (word_id) UNION ALL SELECT word, 1.0, v, -1 FROM model WHERE word_id = 7),
+whole AS MATERIALIZED (SELECT list(word ORDER BY place) AS words, list(value ORDER BY place) AS vals, list(v ORDER BY place) AS m FROM near),
+moved AS MATERIALIZED (SELECT list_transform(m, lambda r: list_transform(generate_series(1, 64), lambda k: r[k] - s[k])) AS x FROM (SELECT m, {shift} AS s FROM whole)),
+gram AS MATERIALIZED (SELECT list_transform(x, lambda r: list_transform(x, lambda c: list_inner_product(r, c))) AS g FROM moved),
+{powers("p1", "gram")},
+{axis("a1", "p1", "gram")},
+rest AS MATERIALIZED (SELECT list_transform(generate_series(1, len(g)), lambda i: list_transform(generate_series(1, len(g)), lambda j: g[i][j] - size * u[i] * u[j])) AS g FROM gram, a1),
+{powers("p2", "rest")},
+{axis("a2", "p2", "rest")}
+SELECT word, round(value, 6) AS value, round(x, 6) AS pca_value_1, round(y, 6) AS pca_value_2 FROM (
+  SELECT unnest(words) AS word, unnest(vals) AS value, unnest({score("a1")}) AS x, unnest({score("a2")}) AS y FROM whole, a1, a2)"""
+
+
+def _trained(lines: str, others: str) -> str:
+    return f"SELECT word_id::INTEGER AS word_id, word, 100::BIGINT AS dim, word <> '</s>' AS moved, true AS sound, true AS {others} FROM ({_vocab(lines, 1)})"
+
+
 ORACLE_SQL = {
     "corpus_default": _corpus(_line(_low("p_name")), "part", "p_partkey"),
     "corpus_multi_column": _corpus(_line(_low("p_name"), _low("p_brand"), _low("p_type")), "part", "p_partkey"),
@@ -143,5 +185,12 @@ words AS (SELECT word FROM near UNION ALL SELECT 'brand#11')
 SELECT p_partkey, p_name, p_brand FROM part WHERE EXISTS (SELECT 1 FROM words WHERE contains(lower(p_name), word) OR contains(lower(p_brand), word))""",
     "model_text_roundtrip": "SELECT 'w' || vec_id AS word, round(list_sum(list_transform(embedding::DOUBLE[], lambda x: round(x, 6)::FLOAT::DOUBLE)), 4) AS total, len(embedding)::BIGINT AS dim FROM embeddings",
     "model_binary_roundtrip": "SELECT 'w' || vec_id AS word, round(list_sum(embedding::DOUBLE[]), 4) AS total, len(embedding)::BIGINT AS dim FROM embeddings",
+    "corpus_segmented": _corpus(_line(_low("p_name"), _low("p_type")), "part", "p_partkey"),
+    "distance_pca": _pca(True),
+    "distance_pca_uncentered": _pca(False),
+    "kmeans_classes": f"WITH {_emb} SELECT word_id::INTEGER AS word_id, word, true AS numbered, true AS nearest FROM model",
+    "train_skipgram_hs": _trained(_train_lines, "alike"),
+    "train_cbow_negative": _trained(_train_lines, "loss_falls"),
+    "train_sentence_vectors": _trained(_supplier_lines, "loss_falls"),
     "prefix_scan_native": f"WITH {_emb} SELECT word_id, word FROM model WHERE starts_with(word, 'c1_')",
 }

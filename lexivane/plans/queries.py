@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexivane.functions import vector as V
 from lexivane.operators import corpus as C
-from lexivane.operators.cluster import classes
+from lexivane.operators.cluster import classes, settled
 from lexivane.operators.distance import batch_topk, candidates, distance
 from lexivane.operators.expander import expand_query, search
 from lexivane.operators.model import VectorModel
@@ -15,7 +15,7 @@ from lexivane.operators.seeded import initial_vectors
 from lexivane.operators.train import train
 from lexivane.operators.vocab import build_vocab, read_vocab, save_vocab, word_counts
 from lexivane.sources import model_io
-from lexivane.storage import work_dir
+from lexivane.storage import work_dir, written
 
 DIGITS = 6
 
@@ -214,7 +214,10 @@ def prefix_scan_native(spark, d):
 
 
 def kmeans_classes(spark, d):
-    return classes(model_of(spark, d), 10)
+    """Classes are numbered at random, so what is checked is that each word's class is the nearest and every class is one of ten."""
+    m = model_of(spark, d)
+    found = written(classes(m, 10))
+    return settled(m, found, 10).select("word_id", "word", F.col("class").between(0, 9).alias("numbered"), "nearest")
 
 
 # ---- expansion ---------------------------------------------------------------------
@@ -235,20 +238,36 @@ def _lines(spark, d):
     return C.dump_corpus(table(spark, d, "part"), "p_name,p_type,p_brand", id_col="p_partkey", normalizer="lower")
 
 
+def _facts(made, size: int) -> DataFrame:
+    """Of each word: id, dimension, whether training has moved it from its seeded vector, and whether all components are finite."""
+    start = initial_vectors(made.vocab, size).select("word_id", F.col("vector").alias("start"))
+    apart = F.exists(F.arrays_zip("vector", "start"), lambda x: F.abs(x["vector"] - x["start"]) > 1e-7)
+    sound = F.forall("vector", lambda x: ~F.isnan(x) & (F.abs(x) < 1e3))
+    return made.vectors.join(start, "word_id").select("word_id", "word", F.size("vector").cast("long").alias("dim"), apart.alias("moved"), sound.alias("sound"))
+
+
 def train_skipgram_hs(spark, d):
-    made = train(_lines(spark, d), size=32, iter=1, min_count=1, mode="ml")
-    return made.model.df.select("word_id", "word", F.size("vector").alias("dim"))
+    """With whether words of one column, which stand in the same places, are nearer each other than to other words."""
+    made = train(_lines(spark, d), min_count=1, sample=0)
+    m = made.model.df
+    brand = F.col("word").startswith("brand#")
+    sums = m.filter("word_id > 0").select(brand.alias("brand"), F.posexplode("vector").alias("j", "x")).groupBy("j").agg(F.avg(F.when(F.col("brand"), F.col("x"))).alias("b"), F.avg(F.when(~F.col("brand"), F.col("x"))).alias("o"))
+    # The mean cosine within brands and between brands and others, from the sums of unit vectors.
+    alike = sums.agg((F.sum(F.col("b") * F.col("b")) > F.sum(F.col("b") * F.col("o"))).alias("alike"))
+    return _facts(made, 100).crossJoin(F.broadcast(alike))
 
 
 def train_cbow_negative(spark, d):
-    made = train(_lines(spark, d), size=32, iter=1, min_count=1, cbow=1, hs=0, negative=5)
-    return made.model.df.select("word_id", "word", F.size("vector").alias("dim"))
+    made = train(_lines(spark, d), min_count=1, cbow=1, hs=0, negative=5, sample=0)
+    return _facts(made, 100).withColumn("loss_falls", F.lit(made.losses[-1] < made.losses[0]))
 
 
 def train_sentence_vectors(spark, d):
-    lines = C.dump_corpus(table(spark, d, "supplier"), "s_name", id_col="s_suppkey", normalizer="lower", sentence_vectors=True)
-    made = train(lines, size=32, iter=1, cbow=1, hs=1, sentence_vectors=True, mode="own")
-    return made.model.df.select("word_id", "word", F.size("vector").alias("dim"))
+    """Lines of suppliers' nations: a line's own vector is trained with its words."""
+    rows = C.resolve_reference(table(spark, d, "supplier"), "s_nationkey", table(spark, d, "nation"), "n_nationkey", "n_name")
+    lines = C.dump_corpus(rows, "s_name_,s_nationkey_", id_col="s_suppkey", normalizer="lower", sentence_vectors=True)
+    made = train(lines, cbow=1, hs=1, sentence_vectors=True, sample=0)
+    return _facts(made, 100).withColumn("loss_falls", F.lit(made.losses[-1] < made.losses[0]))
 
 
 QUERIES = {

@@ -46,10 +46,15 @@ def read_vectors(spark: SparkSession, path: str, binary: bool = True) -> DataFra
             return files.mapInPandas(run, ROWS)
         lines = spark.read.text(path).withColumn("at", F.monotonically_increasing_id())
         parts = F.filter(F.split("value", r"\s+"), lambda x: x != "")
-        rows = lines.select(parts.alias("p"), "at").filter(F.size("p") > 2)
-        order = Window.orderBy("at")
-        # The vocabulary's order is the file's; a model has a row per word, so ranking it is small next to training it.
-        return rows.select((F.row_number().over(order) - 1).cast("int").alias("word_id"), F.element_at("p", 1).alias("word"), F.slice("p", F.lit(2), F.size("p") - 1).cast("array<float>").alias("vector"))
+        rows = lines.filter("at != 0").select(parts.alias("p"), "at").filter(F.size("p") > 1)  # the first line is the header
+        # Words are numbered as they stand: the high bits of Spark's ids name a line's partition, and only a count for each is summed over all.
+        part = F.shiftright("at", 33)
+        before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        counts = lines.filter("at != 0 and value rlike '\\\\S'").groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.min(F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).alias("first"))
+        offsets = counts.select("part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("offset"))
+        numbered = rows.withColumn("part", part).join(F.broadcast(offsets), "part")  # a row per partition
+        word_id = (F.col("offset") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).cast("int")
+        return numbered.select(word_id.alias("word_id"), F.element_at("p", 1).alias("word"), F.slice("p", F.lit(2), F.size("p") - 1).cast("array<float>").alias("vector"))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             raise FileNotFoundError(path) from e

@@ -1,4 +1,4 @@
-"""The corpus builder and the similarity query over streams: both are row-wise, so the same plans run incrementally."""
+"""Streams: the corpus builder is row-wise, so its plan runs incrementally; word counts are stateful; the words of a stream are scored against a fixed query."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexivane.operators.corpus import dump_corpus, tokens_of
+from lexivane.operators.distance import candidates
 
 
 def stream_corpus(stream: DataFrame, columns: str, **options) -> DataFrame:
@@ -20,3 +21,8 @@ def stream_word_counts(corpus: DataFrame, time_col: str | None = None, window: s
         return corpus.select(words).groupBy("word").count()
     timed = corpus.withWatermark(time_col, late).select(time_col, words)
     return timed.groupBy(F.window(time_col, window).alias("window"), "word").count()
+
+
+def stream_similarity(stream: DataFrame, query, threshold: float = -1) -> DataFrame:
+    """A stream of word vectors (word_id, word, vector, of unit length) with the value of each that qualifies against a query vector; append mode. A stream has no end, so there is no top list."""
+    return candidates(stream, query, [], threshold=threshold)

@@ -93,7 +93,7 @@ def test_trained_vectors(spark, options):
 
 def test_engine(spark, tmp_path):
     rows = spark.createDataFrame([(1, "AlphaText", "Lib", ["Gamma", "Delta"]), (2, "Database", "Server", ["Sql", "Postsql"])], "_id long, title string, tag string, tags array<string>")
-    with Engine(spark, f"file://{tmp_path}", {"Entries": rows}) as e:
+    with Engine(spark, f"file://{tmp_path}", {"Entries": rows}, train_mode="init") as e:
         assert e.run("dump_to_train_file Entries title,tag,tags") is True
         assert e.run("word2vec_train --min_count 1 --save_vocab_file vocab") is True
         assert e.run("word2vec_load") is True
