@@ -3,23 +3,15 @@
 from __future__ import annotations
 
 import contextvars
-import tempfile
 import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
+from lexivane.storage import shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = getattr(shared_dir, "own", None) or "file://" + tempfile.mkdtemp(prefix="lexivane-")
-        shared_dir.own = found
-    return found.rstrip("/")
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def work_path(spark: SparkSession, name: str) -> str:
