@@ -47,6 +47,7 @@ STEPS = 5
 LEVEL = 12
 SAMPLE, SAMPLE_BYTES, DICTIONARY = 1500, 4000, 1 << 18
 NAME_BYTES = 16
+SEEN = 1 << 18
 HOT_USES, SALTS = 2000, 32
 WAVES = 2
 
@@ -134,39 +135,48 @@ def recipes(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text") ->
 def dictionary(docs: DataFrame, text_col: str = "text") -> bytes:
     """A zstandard dictionary for chunks from a bounded choice of texts; empty where there is too little to train on."""
     t = F.col(text_col).cast("string")
-    rows = docs.filter(t.isNotNull()).select(F.xxhash64(t).alias("h"), F.substring(t, 1, SAMPLE_BYTES).alias("t")).orderBy("h", "t").limit(SAMPLE).toArrow()
+    some = docs.filter(t.isNotNull()).select(F.xxhash64(t).alias("h"), F.substring(t, 1, SAMPLE_BYTES).alias("t"))
+    # The choice is made of hashes alone; only the texts that have one of the least are brought together, copies once.
+    most = some.select("h").distinct().orderBy("h").limit(SAMPLE).agg(F.max("h").alias("h")).head().h
+    if most is None:
+        return b""
+    rows = some.filter(F.col("h") <= most).groupBy("h").agg(F.min("t").alias("t")).orderBy("h").toArrow()
     try:
-        return zstandard.train_dictionary(DICTIONARY, [wav(payload(x.encode())) for x in sorted(set(rows.column("t").to_pylist()))], k=48, d=6, level=3).as_bytes()
+        return zstandard.train_dictionary(DICTIONARY, [wav(payload(x.encode())) for x in rows.column("t").to_pylist()], k=48, d=6, level=3).as_bytes()
     except zstandard.ZstdError:
         return b""
 
 
 def packer(known: bytes):
+    params = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=1 << 10, dict_size=len(known), format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_checksum=False, write_dict_id=False, write_content_size=True)
     d = zstandard.ZstdCompressionDict(known)
     if known:
-        d.precompute_compress(level=LEVEL)
-    return zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_checksum=False, write_dict_id=False, write_content_size=True).compress
+        d.precompute_compress(compression_params=params)
+    return zstandard.ZstdCompressor(dict_data=d, compression_params=params).compress
 
 
 def unpacker(known: bytes):
-    return zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(known)).decompress
+    return zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(known), format=zstandard.FORMAT_ZSTD1_MAGICLESS).decompress
 
 
 def chunks(docs: DataFrame, known: bytes, text_col: str = "text") -> DataFrame:
-    """The chunks of each row of docs: digest and data (compressed under the dictionary). Repeats within a part of a task are left out."""
+    """The chunks of each row of docs: digest and data (compressed under the dictionary). Repeats within a task are left out, as far as SEEN digests tell them."""
     bounded_batches(docs.sparkSession)
     slim = docs.select(F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        pack = packer(known)
+        pack, seen = packer(known), set()
         for whole in batches:
             for batch in slices(whole, "text", 1_000_000):
                 found = {}
+                if len(seen) > SEEN:
+                    seen.clear()
                 for text in batch.column(0):
                     media, at = wav(payload(text.as_buffer().to_pybytes() if text.is_valid else b"")), 0
                     for end in cuts(media):
                         digest = name_of(media[at:end])
-                        if digest not in found:
+                        if digest not in seen:
+                            seen.add(digest)
                             found[digest] = pack(media[at:end])
                         at = end
                 yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.binary())], names=["digest", "data"])
