@@ -1,5 +1,7 @@
 """Near-duplicates, mixing, chats and the pipeline against brute force."""
 
+import hashlib
+import math
 import random
 import re
 import time
@@ -330,6 +332,55 @@ def test_pipeline_rejects_what_the_query_predicts(spark, monkeypatch, score, lef
     assert corpus_pipeline.drop_toxic(spark, df, None).count() == left
 
 
+def test_pipeline_against_plain_python(spark):
+    """run() against one document at a time: scores, pairwise Jaccard, systematic sampling, the tokenizers library."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    tokenizers = pytest.importorskip("tokenizers")
+    from lexivane.llm.queries import quality_model, tokenizer_path, toxicity_model
+
+    d = "/root/testdata/sf0.001"
+    docs = [r.asDict() for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
+    model = toxicity_model(spark, d)
+    pair = model.open() if model.weights else None
+    docs = [x for x in docs if model.scores([x["text"]], pair)[0][0] < 0.3]
+    model = quality_model(spark, d)
+    docs = [x for x in docs if model.scores(pa.array([x["text"]], pa.string()))[0] >= 0.3]
+    sets, parent = [], list(range(len(docs)))
+    for x in docs:
+        w = words_of(x["text"])
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(docs)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * len(sets[i] | sets[j]):
+                parent[root(i)] = root(j)
+    least = {}
+    for i, x in enumerate(docs):
+        least[root(i)] = min(x["doc_id"], least.get(root(i), x["doc_id"]))
+    docs = [x for i, x in enumerate(docs) if least[root(i)] == x["doc_id"]]
+    sizes = {}
+    for x in docs:
+        x["size"] = len(words_of(x["text"]))
+        sizes[x["source"]] = sizes.get(x["source"], 0) + x["size"]
+    target, want = brute_targets(sizes), []
+    library = tokenizers.Tokenizer.from_file(tokenizer_path())
+    for source in sizes:
+        each = target[source] / sizes[source] if sizes[source] else 0
+        u = int(hashlib.md5(f"20:{source or ''}".encode()).hexdigest()[:5], 16) / (1 << 20)
+        for rank, x in enumerate(sorted((x for x in docs if x["source"] == source), key=lambda x: (x["size"], x["doc_id"])), 1):
+            n = math.floor(rank * each + u) - math.floor((rank - 1) * each + u)
+            ids = library.encode(x["text"] or "", add_special_tokens=False).ids
+            want += [(x["doc_id"], str(source), ids, hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest())] * n
+    got = [(r.doc_id, str(r.source), list(r.ids), r.decoded_sha256) for r in corpus_pipeline.run(spark, d).collect()]
+    assert 0 < len(want) and sorted(got) == sorted(want)
+
+
 def test_pipeline_small(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     from lexivane.llm.common import table
