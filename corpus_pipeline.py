@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexivane.llm import bpe, mixing, neardup, quality, toxicity
-from lexivane.llm.common import materialize, table
+from lexivane.llm.common import materialize, remove_path, scratch, table
 from lexivane.llm.queries import quality_model, tokenizer_path, toxicity_model
 
 #: Near copies are linked from this Jaccard similarity of five-word shingles on, in percent; bands of 4 of the 256 coordinates miss such a pair with probability 2e-15.
@@ -56,7 +56,12 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    """The stages in a row. Each one's rows are written and read again; its own tables, and the rows of the stage before, are deleted then."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.split()[0].lower())
+        with scratch(spark) as keep:
+            docs = keep(materialize(stage(spark, docs, sf_dir), name.split()[0].lower()))
+        if before:
+            remove_path(spark, before)
+        before = docs.work_path.rsplit("/", 1)[0]
     return STAGES[-1][1](spark, docs, sf_dir)
