@@ -37,7 +37,7 @@ from lexivane.operators.corpus import tokens_of
 from lexivane.operators.model import VectorModel
 from lexivane.operators.seeded import initial_vectors, vector_of
 from lexivane.operators.vocab import build_vocab
-from lexivane.storage import written
+from lexivane.storage import remove, written
 
 THREADS = 12
 LEAST_WORDS = 20_000
@@ -216,6 +216,7 @@ def train(corpus: DataFrame, size: int = 100, window: int = 5, sample: float = 1
             vectors = start.join(learned, "word", "left").select("word_id", "word", F.coalesce("learned", "vector").alias("vector"))
         else:
             vectors, losses = _own(lines, rows, size, window, hs, negative, cbow, iter, alpha, sentence_vectors, seed, k)
+        remove(lines)
     else:
         raise ValueError(f"unknown mode: {mode}")
     model = VectorModel.from_vectors(vectors, size)
