@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexivane.llm.common import materialize, scratch, words
+from lexivane.llm.common import materialize, row_hash, scratch, words
 
 CAP = 3.0
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -89,11 +89,6 @@ def copies(docs: DataFrame, key_col: str = "doc_id", source_col: str = "source",
     return joined.select("d.doc_id", "d.source", "size", "tie", "source_size", "target", (F.floor(rank * each + u) - F.floor((rank - 1) * each + u)).cast("long").alias("n_copies"))
 
 
-def row_hash(docs: DataFrame):
-    """A 64-bit hash of all columns of a row that have one."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if not any(x in kind for x in ("map<", "variant", "void"))])
-
-
 def mix(docs: DataFrame, key_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
     """The mixture itself: each row of docs, with all of its columns, as often as it is taken.
 

@@ -19,7 +19,8 @@ Defined results: null, empty and blank texts have no shingles and stay on their
 texts of fewer words than a shingle have the whole sequence as one; rows with a null key
 count as keyless members (a component's id is its least non-null key, null if it has
 none); repeated rows are members of one component; an empty table gives an empty result;
-other columns aren't carried over by `components`, and are kept by `deduplicate`.
+other columns aren't carried over by `components`, and are kept by `deduplicate`. Keys must
+be numbers (they are cast to long).
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexivane.llm.bpe import slices
-from lexivane.llm.common import bounded_batches, free_name, materialize, scratch, tidied
+from lexivane.llm.common import bounded_batches, free_name, materialize, row_hash, scratch, tidied
 from lexivane.llm.shingles import WORDS, bands, shingle_sets, sketches
 
 PERCENT = 85
@@ -49,22 +50,22 @@ def _set_id(s: np.ndarray) -> bytes | None:
 
 
 def signatures(docs: DataFrame, key_col: str, text_col: str, words: int, bins: int, n_bands: int) -> DataFrame:
-    """A slim row per row of docs: doc_id, n_shingles, node (null for empty sets), bands."""
+    """A slim row per row of docs: doc_id, tie (a hash of the row), n_shingles, node (null for empty sets), bands."""
     bounded_batches(docs.sparkSession)
-    slim = docs.select(F.col(key_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    slim = docs.select(F.col(key_col).cast("long").alias("doc_id"), row_hash(docs).alias("tie"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
         for whole in batches:
             for batch in slices(whole, "text", 1_000_000):
-                sets = shingle_sets(batch.column(1), words)
+                sets = shingle_sets(batch.column(2), words)
                 marks = bands(sketches(sets, bins), n_bands)
                 some = np.array([len(s) > 0 for s in sets])
                 flat = pa.array(marks[some].ravel())
                 ends = np.concatenate([[0], np.cumsum(some * n_bands)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), flat)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_set_id(s) for s in sets], pa.binary()), lists], names=["doc_id", "n_shingles", "node", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array([_set_id(s) for s in sets], pa.binary()), lists], names=["doc_id", "tie", "n_shingles", "node", "bands"])
 
-    return slim.mapInArrow(tidied(run), "doc_id long, n_shingles long, node binary, bands array<long>")
+    return slim.mapInArrow(tidied(run), "doc_id long, tie long, n_shingles long, node binary, bands array<long>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, key_col: str, text_col: str, words: int) -> DataFrame:
@@ -144,7 +145,7 @@ def connected(links: DataFrame) -> DataFrame:
 
 
 def components(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, words: int = WORDS, bins: int = BINS, n_bands: int = BANDS) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept and node of each row of docs."""
+    """doc_id, n_shingles, component_id, kept, node and tie (a hash of the row) of each row of docs."""
     with scratch(docs.sparkSession) as keep:
         signed = keep(materialize(signatures(docs, key_col, text_col, words, bins, n_bands), "signed"))
         some = signed.filter("node is not null")
@@ -188,29 +189,20 @@ def components(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text",
         known = materialize(labels.select("node", "label").join(roots, "label").select("node", "component_id"), "known")
         alone = nodes.select("node", "least").join(known, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id"))
         alone = keep(materialize(alone, "ids"))
-    out = signed.select("doc_id", "n_shingles", "node").join(alone, "node", "left")
+    out = signed.select("doc_id", "n_shingles", "node", "tie").join(alone, "node", "left")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"), "node")
+    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"), "node", "tie")
 
 
 def deduplicate(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """docs, all of its columns, with one row of each component: the one of the least key, and of rows alike in key and set any one. Rows without shingles stay."""
-    found = components(docs, key_col, text_col, **options).filter("kept")
+    found = components(docs, key_col, text_col, **options).filter("kept and node is not null")
     names, own = docs.columns, free_name(docs, "lexivane_row")
-    # Rows of one key can hold several texts, so rows are told apart by their set again.
+    # Rows of one key can hold several texts, so rows are told apart by a hash of all of their columns; one stands for those alike in key and set.
     # Written before it is made distinct: a join that nothing is grouped on after can have its hot keys split.
-    kept = materialize(found.select(F.col("doc_id").alias("k"), "node"), "kept").distinct()
-    alone = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias(own), F.col(key_col).cast("long").alias("k"), F.col(text_col).cast("string").alias("t"))
-    words = int(options.get("words", WORDS))
-    bounded_batches(docs.sparkSession)
-    schema = alone.withColumn("node", F.lit(None).cast("binary")).drop("t").schema
-
-    def run(batches):
-        for whole in batches:
-            for batch in slices(whole, "t", 1_000_000):
-                ids = pa.array([_set_id(s) for s in shingle_sets(batch.column(2), words)], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ids], names=[own, "k", "node"])
-
-    rows = alone.mapInArrow(tidied(run), schema)
-    full = rows.filter("node is not null").join(kept.filter("node is not null"), (rows["k"].eqNullSafe(kept["k"])) & (rows["node"] == kept["node"])).select(own, rows["k"], rows["node"]).dropDuplicates(["k", "node"])
-    return full.select(own).union(rows.filter("node is null").select(own)).select(f"{own}.*")
+    kept = materialize(found.select(F.col("doc_id").alias("k"), "node", "tie"), "kept").groupBy("k", "node").agg(F.min("tie").alias("h")).select("k", "h")
+    text = F.col(text_col).cast("string")
+    worded = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias(own), F.col(key_col).cast("long").alias("k"), row_hash(docs).alias("h"), worded.alias("worded"))
+    full = rows.filter("worded").alias("r").join(kept.alias("f"), F.col("r.k").eqNullSafe(F.col("f.k")) & (F.col("r.h") == F.col("f.h"))).select(F.col(f"r.{own}"), "r.k", "r.h").dropDuplicates(["k", "h"])
+    return full.select(own).union(rows.filter("not worded").select(own)).select(f"{own}.*")

@@ -46,7 +46,7 @@ def op3_media_columns(spark, sf_dir):
 
 
 def op5_minhash_dedup(spark, sf_dir):
-    return neardup.components(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85).drop("node")
+    return neardup.components(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85).drop("node", "tie")
 
 
 def op6_embedding_dedup(spark, sf_dir):
