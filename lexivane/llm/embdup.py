@@ -75,14 +75,16 @@ def meeting(dims: int, depth: int, cosine: float) -> float:
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
-    """The fast Walsh-Hadamard transform of each row, orthonormal; the width is a power of two."""
-    n, d = x.shape
-    h = 1
+    """The fast Walsh-Hadamard transform of each column, orthonormal; the height is a power of two."""
+    d, n = x.shape
+    h, scale = 1, np.asarray(1 / math.sqrt(d), x.dtype)
     while h < d:
-        y = x.reshape(n, d // (2 * h), 2, h)
-        x = np.stack([y[:, :, 0] + y[:, :, 1], y[:, :, 0] - y[:, :, 1]], axis=2).reshape(n, d)
+        y, x = np.empty_like(x).reshape(d // (2 * h), 2, h, n), x.reshape(d // (2 * h), 2, h, n)
+        np.add(x[:, 0], x[:, 1], out=y[:, 0])
+        np.subtract(x[:, 0], x[:, 1], out=y[:, 1])
+        x = y.reshape(d, n)
         h *= 2
-    return x / math.sqrt(d)
+    return x * scale
 
 
 def codes(x: np.ndarray, depth: int, tables: int, probes: int = PROBES, seed: int = SEED) -> np.ndarray:
@@ -90,8 +92,8 @@ def codes(x: np.ndarray, depth: int, tables: int, probes: int = PROBES, seed: in
     n, dims = x.shape
     d = max(2, 1 << (dims - 1).bit_length())
     k = min(3, d)
-    wide = np.zeros((n, d), np.float32)
-    wide[:, :dims] = x
+    wide = np.zeros((d, n), np.float32)
+    wide[:dims] = x.T
     rng = np.random.default_rng([seed, dims])
     rows = np.arange(n)[:, None]
     out = []
@@ -100,7 +102,8 @@ def codes(x: np.ndarray, depth: int, tables: int, probes: int = PROBES, seed: in
         for _ in range(depth):
             r = wide
             for _ in range(3):
-                r = hadamard(r * rng.choice(np.array([-1, 1], np.float32), size=d))
+                r = hadamard(r * rng.choice(np.array([-1, 1], np.float32), size=(d, 1)))
+            r = np.ascontiguousarray(r.T)
             size = np.abs(r)
             top = np.argpartition(-size, k - 1, axis=1)[:, :k]
             top = np.take_along_axis(top, np.argsort(-np.take_along_axis(size, top, 1), axis=1, kind="stable"), 1)
@@ -188,12 +191,27 @@ def _first_met(group: int, lists: list[np.ndarray], left: np.ndarray, right: np.
     return (x[left] @ x[right].T) < 0.5
 
 
+def forest(hit: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of a symmetric matrix of links, breadth first."""
+    left, out = np.ones(len(hit), bool), []
+    for root in range(len(hit)):
+        if not left[root]:
+            continue
+        left[root], front = False, np.array([root])
+        while len(front):
+            reach = hit[front] & left
+            new = np.flatnonzero(reach.any(axis=0))
+            out += zip(front[reach[:, new].argmax(axis=0)].tolist(), new.tolist())
+            left[new], front = False, new
+    return out
+
+
 class Found:
     """What comparisons found in a task: linked copies of each row, and forest edges as row pairs."""
 
     def __init__(self, units: list[np.ndarray], copies: np.ndarray, lists: list[np.ndarray], cosine: float):
         self.units, self.copies, self.lists, self.cosine = units, copies, lists, cosine
-        self.sums, self.edges = np.zeros(len(units), np.int64), []
+        self.sums, self.edges, self.sets = np.zeros(len(units), np.int64), [], {}
 
     def block(self, group: int, rows: np.ndarray, part: np.ndarray) -> None:
         """The rows of one pair of blocks of a group, by a matrix product. part: 0 and 1 for the sides, 2 for both."""
@@ -218,20 +236,26 @@ class Found:
             self.sums[left] += hit @ self.copies[right]
             if not both:
                 self.sums[right] += hit.T @ self.copies[left]
-            label = np.arange(len(members))
-            for i, u in enumerate(at[: len(left)]):
-                js = at[len(left) :][hit[i]]
-                if len(js):
-                    for v, k in zip(*np.unique(label[js], return_index=True)):
-                        if v != label[u]:
-                            label[label == v] = label[u]
-                            self.edges.append((int(members[u]), int(members[js[k]])))
+            if both:
+                whole = hit
+            else:
+                whole = np.zeros((len(members), len(members)), bool)
+                whole[np.ix_(at[: len(left)], at[len(left) :])] = hit
+                whole |= whole.T
+            self.edges += [(int(members[u]), int(members[v])) for u, v in forest(whole)]
+
+    def _set(self, i: int) -> frozenset:
+        if i not in self.sets:
+            self.sets[i] = frozenset(self.lists[i].tolist())
+        return self.sets[i]
 
     def few(self, groups: list[tuple[int, np.ndarray]]) -> None:
         """Groups of few rows each, pair by pair, PAIRS at a time."""
-        held, size = [], 0
+        held, size, above = [], 0, {}
         for group, rows in groups:
-            i, j = np.triu_indices(len(rows), 1)
+            if len(rows) not in above:
+                above[len(rows)] = np.triu_indices(len(rows), 1)
+            i, j = above[len(rows)]
             held.append((np.full(len(i), group), rows[i], rows[j]))
             size += len(i)
             if size >= PAIRS:
@@ -252,7 +276,7 @@ class Found:
             near = np.einsum("ij,ij->i", x[place[: len(at)]], x[place[len(at) :]]) >= self.cosine
             for k in at[near]:
                 a, b = int(i[k]), int(j[k])
-                if np.intersect1d(self.lists[a], self.lists[b])[0] == group[k]:
+                if min(self._set(a) & self._set(b)) == group[k]:
                     self.sums[a] += self.copies[b]
                     self.sums[b] += self.copies[a]
                     self.edges.append((a, b))
