@@ -6,8 +6,8 @@ negative sampling and sentence vectors by the published algorithm. Without an ob
 hierarchical softmax, no negative samples) there is nothing to train, and the vectors are
 the seeded initial ones, as with `init`. The size of the corpus decides nothing.
 
-Frequent words are dropped line by line, by draws that depend on the line and the seed
-alone; lines are rows, whatever their ids. Per iteration each of `threads` partitions
+Frequent words are dropped line by line, by draws that depend on the line, its id and the
+seed alone; lines are rows, whatever their ids. Per iteration each of `threads` partitions
 (fewer where that leaves less than LEAST_WORDS words to each) trains on its lines from the
 weights that all start from, and the partitions' weights are averaged by the words that
 they saw, so runs with the same seed and partitions agree. A partition trains on BATCH
@@ -98,16 +98,17 @@ def subsampled(corpus: DataFrame, vocab: list, t: float, seed: int = 1) -> DataF
         at, keep = sent.value
         for pdf in frames:
             words, found = [], []
-            for tokens in pdf["tokens"]:
+            for doc, tokens in zip(pdf["doc"], pdf["tokens"]):
                 tokens = [] if tokens is None else list(tokens)
                 names = [w for w in tokens if w in at]
                 have = np.array([at[w] for w in names], np.int64)
-                stay = np.random.default_rng([seed, zlib.crc32(" ".join(tokens).encode())]).random(len(have)) < keep[have]
+                stay = np.random.default_rng([seed, zlib.crc32(f"{doc} {' '.join(tokens)}".encode())]).random(len(have)) < keep[have]
                 words.append([w for w, x in zip(names, stay) if x])
                 found.append(have[stay].astype(np.int32))
             yield pd.DataFrame({"words": words, "ids": found})
 
-    return corpus.select(tokens_of(F.col("line")).alias("tokens")).mapInPandas(run, "words array<string>, ids array<int>")
+    doc = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc")
+    return corpus.select(doc, tokens_of(F.col("line")).alias("tokens")).mapInPandas(run, "words array<string>, ids array<int>")
 
 
 def _sigmoid(x):

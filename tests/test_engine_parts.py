@@ -12,7 +12,7 @@ from lexivane.operators.model import VectorModel
 from lexivane.operators.seeded import states, vector_of
 from lexivane.operators.terms import Term, parse_terms
 from lexivane.operators.train import huffman, train
-from lexivane.operators.vocab import build_vocab
+from lexivane.operators.vocab import build_vocab, read_vocab, save_vocab
 from lexivane.plans.engine import Engine
 from lexivane.plans.result import to_json, to_tsv, to_xml
 from lexivane.sources import model_io
@@ -70,6 +70,121 @@ def test_files(spark, tmp_path):
         assert [(r.word_id, r.word, [round(x, 6) for x in r.vector]) for r in model_io.read_vectors(spark, path, binary).orderBy("word_id").collect()] == [(0, "</s>", [0.5, -1.25]), (1, "é", [0.001, 2.0])]
 
 
+def test_models_of_one_dimension(spark, tmp_path):
+    v = spark.createDataFrame([(0, "12", [0.5]), (1, "b", [-2.0]), (2, "c", [0.0])], "word_id int, word string, vector array<float>")
+    for binary, write in ((True, model_io.write_binary), (False, model_io.write_text)):
+        path = f"file://{tmp_path}/one{binary}"
+        write(v, path)
+        assert [tuple(r) for r in model_io.read_vectors(spark, path, binary).orderBy("word_id").collect()] == [(0, "12", [0.5]), (1, "b", [-2.0]), (2, "c", [0.0])]
+
+
+def test_text_models_in_many_parts(spark, tmp_path):
+    """Words keep their order however many tasks read the file."""
+    n = 5000
+    v = spark.range(n).selectExpr("CAST(id AS INT) AS word_id", "concat('w', id) AS word", "array(CAST(id AS FLOAT), CAST(1 AS FLOAT)) AS vector")
+    path = f"file://{tmp_path}/parts"
+    model_io.write_text(v, path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        back = model_io.read_vectors(spark, path, False)
+        assert back.rdd.getNumPartitions() > 3
+        assert [(r.word_id, r.word, r.vector[0]) for r in back.orderBy("word_id").collect()] == [(i, f"w{i}", float(i)) for i in range(n)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_saved_vocabularies(spark, tmp_path):
+    corpus = spark.createDataFrame([(None, "b a b"), (None, "c a"), (5, "d"), (5, "e")], "doc_id long, line string")
+    vocab = build_vocab(corpus, 1)
+    want = [(r.word_id, r.word, r["count"]) for r in vocab.orderBy("word_id").collect()]
+    assert [w[1] for w in want][:3] == ["</s>", "b", "a"] or [w[1] for w in want][:3] == ["</s>", "a", "b"]
+    assert sorted(w[0] for w in want) == list(range(6))
+    save_vocab(vocab, f"file://{tmp_path}/vocab")
+    assert [(r.word_id, r.word, r["count"]) for r in read_vocab(spark, f"file://{tmp_path}/vocab").orderBy("word_id").collect()] == want
+
+
+@pytest.mark.parametrize("low,high", [(0, 7), (-(1 << 62), 1 << 62)])
+def test_vocab_order_of_any_ids(spark, low, high):
+    """Ids whose span a long can hold beside positions, and others."""
+    corpus = spark.createDataFrame([(high, "z a"), (low, "y b z a"), (None, "x")], "doc_id long, line string")
+    got = [r.word for r in build_vocab(corpus, 1).orderBy("word_id").collect()]
+    assert got == ["</s>", "z", "a", "x", "y", "b"]
+
+
+def test_lines_stay_rows(spark):
+    """Lines without ids, or of one id, are lines of their own when they are trained on."""
+    from lexivane.operators.train import subsampled
+
+    corpus = spark.createDataFrame([(None, "a b"), (None, "c"), (7, "a d"), (7, None), (7, "c c nosuch")], "doc_id long, line string")
+    vocab = build_vocab(corpus.filter("line != 'c c nosuch' or line is null"), 1).orderBy("word_id").collect()
+    got = sorted(r.words for r in subsampled(corpus, vocab, 0).collect())
+    assert got == [[], ["a", "b"], ["a", "d"], ["c"], ["c", "c"]]
+    many = spark.createDataFrame([(i, "often " * 50) for i in range(40)] + [(99, "seldom word")], "doc_id long, line string")
+    vocab = build_vocab(many, 1).orderBy("word_id").collect()
+    kept = [w for r in subsampled(many, vocab, 1e-2).collect() for w in r.words]
+    assert kept.count("seldom") == 1 and 0.05 < kept.count("often") / 2000 < 0.25
+
+
+def test_windows_of_lines():
+    """Every pair of a window of full reach, none across lines, the document's word in each window."""
+    from lexivane.operators.train import windows
+
+    class Full:
+        def integers(self, low, high, size):
+            return np.zeros(size, np.int64)
+
+    lines = [np.array([9, 1, 2, 3]), np.array([4]), np.array([], np.int64), np.array([9, 5])]
+    words, place, context = windows(lines, 2, Full())
+    got = sorted(zip(place.tolist(), context.tolist()))
+    want, at = [], 0
+    for line in lines:
+        want += [(at + i, int(line[j])) for i in range(len(line)) for j in range(max(0, i - 2), min(len(line), i + 3)) if i != j]
+        at += len(line)
+    assert words.tolist() == [9, 1, 2, 3, 4, 9, 5] and got == sorted(want)
+    far = windows([np.array([9, 1, 2, 3, 4])], 1, Full(), frozenset([9]))
+    assert sorted(zip(far[1].tolist(), far[2].tolist())) == sorted([(0, 1), (1, 9), (1, 2), (2, 1), (2, 3), (2, 9), (3, 2), (3, 4), (3, 9), (4, 3), (4, 9)])
+
+
+def test_threads_are_partitions(spark):
+    from lexivane.operators import train as T2
+
+    corpus = spark.createDataFrame([(i, f"a{i % 7} b{i % 5} c") for i in range(400)], "doc_id long, line string")
+    old, T2.LEAST_WORDS = T2.LEAST_WORDS, 100
+    try:
+        one, four = (train(corpus, size=8, iter=2, cbow=1, hs=0, negative=3, min_count=1, sample=0, threads=n) for n in (1, 4))
+        again = train(corpus, size=8, iter=2, cbow=1, hs=0, negative=3, min_count=1, sample=0, threads=4)
+    finally:
+        T2.LEAST_WORDS = old
+    vectors = lambda m: {r.word: list(r.vector) for r in m.vectors.collect()}
+    assert vectors(four) == vectors(again) != vectors(one) and four.losses == again.losses
+
+
+def test_similarity_of_a_stream(spark, tmp_path):
+    from lexivane.streaming.corpus_stream import stream_similarity
+
+    spark.createDataFrame([(1, "a", [1.0, 0.0]), (2, "b", [0.6, 0.8]), (3, "c", [-1.0, 0.0])], "word_id int, word string, vector array<float>").coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("word_id int, word string, vector array<float>").parquet(f"{tmp_path}/in")
+    q = stream_similarity(stream, [1.0, 0.0], 0.5).writeStream.format("memory").queryName("near").outputMode("append").start()
+    q.processAllAvailable()
+    q.stop()
+    assert {r.word: round(r.value, 6) for r in spark.table("near").collect()} == {"a": 1.0, "b": 0.6}
+
+
+def test_work_tables_need_a_shared_folder():
+    """Only a session of one process may have a folder of its own."""
+    from types import SimpleNamespace
+
+    from lexivane.storage import shared_dir
+
+    session = lambda master, folder: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: folder), sparkContext=SimpleNamespace(master=master))
+    assert shared_dir(session("yarn", "hdfs://x/shared/")) == "hdfs://x/shared"
+    with pytest.raises(ValueError):
+        shared_dir(session("spark://host:7077", None))
+
+
 def test_zero_and_nan_vectors_are_near_nothing(spark):
     m = VectorModel.from_vectors(spark.createDataFrame([(0, "a", [1.0, 0.0]), (1, "z", [0.0, 0.0]), (2, "b", [1.0, 1.0]), (3, "n", [float("nan"), 1.0])], "word_id int, word string, vector array<float>"))
     assert [r[0] for r in distance(m.df, "a").rows().collect()] == ["b"]
