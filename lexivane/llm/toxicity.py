@@ -53,7 +53,7 @@ WINDOW, STRIDE = 8, 4
 SHORT, STEP = 4, 2
 BAGS, KEPT = 6, 0.9995
 #: Segments of so many bytes are chosen by how often their runs of so many bytes occur.
-TRAINER = {"k": 12, "d": 6, "level": 6}
+TRAINER = {"k": 16, "d": 6, "level": 6}
 QUANTILES = (0.98, 0.99, 0.998, 0.9995)
 SEED = 1
 #: Lazy search in binary trees, with tables sized for windows and dictionaries: steady lengths and little memory.
