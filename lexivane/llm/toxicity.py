@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexivane.llm.bpe import slices
-from lexivane.llm.common import bounded_batches, free_name, tidied
+from lexivane.llm.common import bounded_batches, free_name, materialize, scratch, tidied
 
 MOST_TOXIC, MOST_ORDINARY, MOST_BYTES = 4000, 4000, 1 << 15
 ORDINARY_BYTES, BAG_BYTES, TOXIC_BYTES = 65536, 8192, 4096
@@ -241,12 +241,14 @@ def labelled_texts(docs: DataFrame, known: DataFrame, key_col: str, text_col: st
         some = known.filter(F.col("y") == y).orderBy(order, "k").limit(2 * n)
         picked = some if picked is None else picked.unionByName(some)
     texts = docs.select(F.col(key_col).alias("k"), F.col(text_col).alias("t")).filter(F.octet_length("t") <= most_bytes)
-    found = texts.join(F.broadcast(picked), "k").groupBy("k", "y").agg(F.min("t").alias("t"))
-    kept = None
-    for y, n in most.items():
-        some = found.filter(F.col("y") == y).orderBy(order, "k").limit(n)
-        kept = some if kept is None else kept.unionByName(some)
-    rows = kept.toArrow().to_pylist()
+    with scratch(docs.sparkSession):
+        # Written, so that the documents are read once for all labels.
+        found = materialize(texts.join(F.broadcast(picked), "k").groupBy("k", "y").agg(F.min("t").alias("t")), "labelled")
+        kept = None
+        for y, n in most.items():
+            some = found.filter(F.col("y") == y).orderBy(order, "k").limit(n)
+            kept = some if kept is None else kept.unionByName(some)
+        rows = kept.toArrow().to_pylist()
     rows.sort(key=lambda r: (hashlib.blake2b(str(r["k"]).encode(), digest_size=8).digest(), r["y"]))
     return [(r["y"], r["t"]) for r in rows]
 
