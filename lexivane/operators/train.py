@@ -10,9 +10,12 @@ Frequent words are dropped line by line, by draws that depend on the line, its i
 seed alone; lines are rows, whatever their ids. Per iteration each of `threads` partitions
 (fewer where that leaves less than LEAST_WORDS words to each) trains on its lines from the
 weights that all start from, and the partitions' weights are averaged by the words that
-they saw, so runs with the same seed and partitions agree. A partition trains on BATCH
-words at a time, fewer where there are less than four times as many different ones: their
-windows are computed from the same weights.
+they saw, so runs with the same seed and partitions agree. Lines are trained in a random
+order, drawn like the words that are dropped (for lines without an id by their place too):
+in the order of their words, weights would run after each stretch of like lines. The rate
+falls over the words of a partition, whatever the batches that it comes in. A partition
+trains on BATCH words at a time, fewer where there are less than four times as many
+different ones: their windows are computed from the same weights.
 
 Weights of the whole vocabulary are held by every task, as the algorithm does, so the
 vocabulary's words and ids are broadcast to them too: that bounds the vocabulary, not the
@@ -23,11 +26,14 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from collections import Counter
 from dataclasses import dataclass, field
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.feature import Word2Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,25 +96,30 @@ def keep_chances(counts: np.ndarray, t: float) -> np.ndarray:
 
 
 def subsampled(corpus: DataFrame, vocab: list, t: float, seed: int = 1) -> DataFrame:
-    """words, and ids (places in the vocabulary), of each line with words that aren't in the vocabulary left out and frequent ones dropped at random; one narrow stage."""
+    """words, and ids (places in the vocabulary), of each line with words that aren't in the vocabulary left out and frequent ones dropped at random, and the line's place in a random order (turn); one narrow stage."""
     known = {r.word: i for i, r in enumerate(vocab)}
     sent = corpus.sparkSession.sparkContext.broadcast((known, keep_chances(np.array([r["count"] for r in vocab], np.float64), t)))
 
     def run(frames):
         at, keep = sent.value
-        for pdf in frames:
-            words, found = [], []
+        part = TaskContext.get().partitionId()
+        for k, pdf in enumerate(frames):
+            words, found, turns, copies = [], [], [], Counter()
             for doc, tokens in zip(pdf["doc"], pdf["tokens"]):
                 tokens = [] if tokens is None else list(tokens)
                 names = [w for w in tokens if w in at]
                 have = np.array([at[w] for w in names], np.int64)
-                stay = np.random.default_rng([seed, zlib.crc32(f"{doc} {' '.join(tokens)}".encode())]).random(len(have)) < keep[have]
+                mark = zlib.crc32(f"{doc} {' '.join(tokens)}".encode())
+                stay = np.random.default_rng([seed, mark]).random(len(have)) < keep[have]
                 words.append([w for w, x in zip(names, stay) if x])
                 found.append(have[stay].astype(np.int32))
-            yield pd.DataFrame({"words": words, "ids": found})
+                # Copies that no id tells apart mustn't be trained in a row.
+                turns.append(int.from_bytes(blake2b(f"{seed} {mark} {copies[mark]} {'' if doc else (part, k)}".encode(), digest_size=8).digest(), "little", signed=True))
+                copies[mark] += 1
+            yield pd.DataFrame({"words": words, "ids": found, "turn": turns})
 
     doc = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc")
-    return corpus.select(doc, tokens_of(F.col("line")).alias("tokens")).mapInPandas(run, "words array<string>, ids array<int>")
+    return corpus.select(doc, tokens_of(F.col("line")).alias("tokens")).mapInPandas(run, "words array<string>, ids array<int>, turn long")
 
 
 def _sigmoid(x):
@@ -141,12 +152,21 @@ def windows(lines: list[np.ndarray], window: int, rng: np.random.Generator, docs
     return words, place[order], context[order]
 
 
+def _add(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """into[rows] += values, where rows may repeat."""
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]])[: len(rows)])
+    if len(first):
+        into[rows[first]] += np.add.reduceat(values[order], first, axis=0)
+
+
 def step(weights: np.ndarray, outputs: np.ndarray, sources: np.ndarray, owner: np.ndarray, targets: np.ndarray, settings: dict, alpha: float, rng: np.random.Generator) -> tuple[float, int]:
     """One update: example k has the mean of the weights of the sources that owner gives it, and is to tell targets[k]. Loss and examples."""
     n = len(targets)
     share = np.bincount(owner, minlength=n)
     h = np.zeros((n, weights.shape[1]))
-    np.add.at(h, owner, weights[sources])
+    _add(h, owner, weights[sources])
     h /= np.maximum(1, share)[:, None]
     nodes, labels, real = [], [], []
     if settings["hs"]:
@@ -164,8 +184,8 @@ def step(weights: np.ndarray, outputs: np.ndarray, sources: np.ndarray, owner: n
     loss = -float((np.log(np.where(y > 0, p, 1 - p) + 1e-12) * use).sum())
     g = (y - p) * use * alpha
     error = np.einsum("nt,nts->ns", g, theta)
-    np.add.at(outputs, node[use], g[use][:, None] * np.repeat(h, use.sum(1), axis=0))
-    np.add.at(weights, sources, error[owner])
+    _add(outputs, node[use], g[use][:, None] * np.repeat(h, use.sum(1), axis=0))
+    _add(weights, sources, error[owner])
     return loss, n
 
 
@@ -245,8 +265,9 @@ def _own(lines: DataFrame, rows: list, size, window, hs, negative, cbow, iter, a
     weights = np.stack([vector_of(r.word_id, size) for r in rows]) if n else np.zeros((0, size))
     outputs = np.zeros((inner + (n if negative else 0), size))
     settings = {"cbow": cbow, "hs": hs, "negative": negative, "window": window, "codes": codes, "points": _padded(points)[0], "paths": paths, "table": table, "doc_ids": docs, "inner": inner, "alpha": alpha}
-    # Dealt by what a line holds and sorted, so that partitions are the same in each run.
-    dealt = lines.select("ids").repartition(k, F.xxhash64("ids")).sortWithinPartitions("ids").persist()
+    # Dealt and sorted by each line's turn, so that partitions are random, and the same in each run.
+    dealt = lines.select("ids", "turn").repartition(k, "turn").sortWithinPartitions("turn", "ids").select("ids").persist()
+    sizes = {r.part: r.n or 0 for r in dealt.groupBy(F.spark_partition_id().alias("part")).agg(F.sum(F.size("ids")).alias("n")).collect()}
     losses = []
     for turn in range(iter):
         sent = spark.sparkContext.broadcast((weights, outputs, settings))
@@ -255,9 +276,12 @@ def _own(lines: DataFrame, rows: list, size, window, hs, negative, cbow, iter, a
         def run(frames, sent=sent, rates=rates, turn=turn):
             w, o, s = sent.value
             w, o, seen, loss = w.copy(), o.copy(), 0, 0.0
-            rng = np.random.default_rng([seed, turn])
+            part = TaskContext.get().partitionId()
+            rng = np.random.default_rng([seed, turn, part])
             for pdf in frames:
-                m, mean = train_lines(list(pdf["ids"]), w, o, s, rates, rng)
+                lines = list(pdf["ids"])
+                share = [(seen + n) / max(1, sizes[part]) for n in (0, sum(map(len, lines)))]
+                m, mean = train_lines(lines, w, o, s, tuple(rates[0] + (rates[1] - rates[0]) * x for x in share), rng)
                 seen, loss = seen + m, loss + m * mean
             if seen:
                 yield pd.DataFrame({"seen": [seen], "loss": [loss], "weights": [w.tobytes()], "outputs": [o.tobytes()]})

@@ -261,3 +261,23 @@ def test_a_long_line_does_not_turn_training_off(spark):
     made = train(spark.createDataFrame(rows, "doc_id long, line string"), size=4, iter=1, cbow=1, hs=0, negative=2, min_count=1, sample=0)
     start = {r.word: list(r.vector) for r in initial_vectors(made.vocab, 4).collect()}
     assert any(list(r.vector) != start[r.word] for r in made.vectors.collect())
+
+
+def test_training_does_not_follow_the_order_of_lines(spark):
+    """The loss of an iteration is below that of the one before, where lines come in stretches of copies."""
+    rng = np.random.default_rng(1)
+    words = [[f"{kind}{i}" for i in range(n)] for kind, n in (("a", 8), ("b", 8), ("c", 6), ("d", 25))]
+    rows = [(i, " ".join(w[j] for w, j in zip(words, rng.integers(0, [len(w) for w in words])))) for i in range(5_000)]
+    rows = [(i + 10_000 * copy, line) for i, line in rows for copy in range(2)]
+    corpus = spark.createDataFrame(rows, "doc_id long, line string").coalesce(1)
+    losses = train(corpus, size=20, cbow=1, hs=0, negative=5, min_count=1, sample=0).losses
+    assert losses == sorted(losses, reverse=True) and losses[-1] < losses[0]
+
+
+def test_copies_without_ids_are_trained_apart(spark):
+    from lexivane.operators.train import subsampled
+
+    corpus = spark.createDataFrame([(None, "a b")] * 50, "doc_id long, line string")
+    turns = [r.turn for r in subsampled(corpus, build_vocab(corpus, 1).collect(), 0).collect()]
+    assert len(set(turns)) == 50
+    assert sorted(turns) == sorted(r.turn for r in subsampled(corpus, build_vocab(corpus, 1).collect(), 0).collect())
