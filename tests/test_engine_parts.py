@@ -281,3 +281,11 @@ def test_copies_without_ids_are_trained_apart(spark):
     turns = [r.turn for r in subsampled(corpus, build_vocab(corpus, 1).collect(), 0).collect()]
     assert len(set(turns)) == 50
     assert sorted(turns) == sorted(r.turn for r in subsampled(corpus, build_vocab(corpus, 1).collect(), 0).collect())
+
+
+def test_sentence_vectors_of_many_lines(spark):
+    """As above where each line has words of its own: the loss falls in each iteration."""
+    rng = np.random.default_rng(1)
+    rows = [(i, f"doc_id:{i} own{i} group{j}") for i, j in enumerate(rng.integers(0, 25, 3_000))]
+    losses = train(spark.createDataFrame(rows, "doc_id long, line string"), size=50, cbow=1, hs=1, sentence_vectors=True, sample=0, partitions=3).losses
+    assert losses == sorted(losses, reverse=True) and losses[-1] < losses[0]
