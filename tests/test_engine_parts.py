@@ -289,3 +289,29 @@ def test_sentence_vectors_of_many_lines(spark):
     rows = [(i, f"doc_id:{i} own{i} group{j}") for i, j in enumerate(rng.integers(0, 25, 3_000))]
     losses = train(spark.createDataFrame(rows, "doc_id long, line string"), size=50, cbow=1, hs=1, sentence_vectors=True, sample=0, partitions=3).losses
     assert losses == sorted(losses, reverse=True) and losses[-1] < losses[0]
+
+
+def test_classes_are_at_rest(spark):
+    """No word is nearer to the mean of another class than to its own, however slowly k-means gets there."""
+    from lexivane.operators.cluster import classes, settled
+
+    x = np.random.default_rng(1).normal(size=(4_000, 24))
+    rows = [(i, f"w{i}", [float(a) for a in v]) for i, v in enumerate(x)]
+    model = VectorModel.from_vectors(spark.createDataFrame(rows, "word_id int, word string, vector array<float>"), 24).df
+    found = settled(model, classes(model, 10), 10)
+    assert found.filter("class between 0 and 9").count() == 4_000
+    assert found.filter("not nearest").count() == 0
+    assert classes(model, 10, rounds=2).count() == 4_000
+
+
+def test_rounds_go_on_from_any_centres(spark, monkeypatch):
+    """The exact rounds get to rest alone, from where Spark ML's have stopped after one; vectors alike and fewer than classes."""
+    from lexivane.operators import cluster
+
+    monkeypatch.setattr(cluster, "MOST_ROUNDS", 1)
+    x = np.random.default_rng(2).normal(size=(300, 8))
+    rows = [(i, f"w{i}", [float(a) for a in v]) for i, v in enumerate(x)]
+    model = VectorModel.from_vectors(spark.createDataFrame(rows, "word_id int, word string, vector array<float>"), 8).df
+    assert cluster.settled(model, cluster.classes(model, 4), 4).filter("not nearest").count() == 0
+    few = VectorModel.from_vectors(spark.createDataFrame([(i, f"w{i}", [1.0, float(i % 2)]) for i in range(9)], "word_id int, word string, vector array<float>"), 2).df
+    assert cluster.settled(few, cluster.classes(few, 5), 5).filter("nearest").count() == 9
