@@ -14,6 +14,17 @@ from lexivane.storage import shared_dir
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: A row group is held whole by the task that reads it, so those that are written stay small.
+ROW_GROUP = 16 << 20
+
+
+def bounded_files(spark: SparkSession) -> None:
+    """Parquet files are read into one buffer and written in row groups of a bounded size, unless the session already says so. Vectored reads hold column chunks a second time, in direct buffers that stay with each reading thread; where those run out the thread ends, and its task waits until it fails."""
+    for key, value in (("parquet.hadoop.vectored.io.enabled", "false"), ("parquet.block.size", str(ROW_GROUP))):
+        if spark.conf.get(key, None) is None and spark.sparkContext.getConf().get(f"spark.hadoop.{key}") is None:
+            spark.conf.set(key, value)
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/lexivane/{uuid.uuid4().hex}/{name}"
 
@@ -58,6 +69,7 @@ def scratch(spark: SparkSession):
 def materialize(df: DataFrame, name: str = "step", partition_by: list[str] | None = None) -> DataFrame:
     """Write df as Parquet into the shared folder and read it again: cuts lineage, survives lost executors."""
     spark = df.sparkSession
+    bounded_files(spark)
     path = work_path(spark, name)
     with shuffles_end_with_their_query(spark):
         w = df.write
@@ -78,7 +90,8 @@ def remove_path(spark: SparkSession, path: str) -> None:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Batches for Python of a bounded number of rows and bytes, unless the session already says so."""
+    """Batches for Python of a bounded number of rows and bytes, unless the session already says so; and files so."""
+    bounded_files(spark)
     for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "2000"), ("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))):
         if spark.sparkContext.getConf().get(key) is None:
             spark.conf.set(key, value)
@@ -110,6 +123,7 @@ def tidied(run):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_files(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
