@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -216,3 +217,17 @@ def test_chunks_follow_content():
 
     one, two = names(a), names(b)
     assert len(one & two) >= len(one) - 3
+
+
+def test_words_are_encoded_once_where_texts_are_whole(library):
+    """The coder of the token files keeps the words of many batches; one that can't hold them gives the same ids."""
+    batches = [pa.array([" ".join(f"w{i:x}" for i in range(k, k + 5_000))]) for k in range(0, 150_000, 5_000)]
+    c, asked = bpe.TreeBpe(PATH, tree=False, cache=bpe.coder(PATH, tree=False).cache), []
+    words = c.words
+    c.words = lambda runs: asked.append(len(runs)) or words(runs)
+    once = [c.encode_batch(b).to_pylist() for b in batches]
+    assert sum(asked) == 150_000
+    assert [c.encode_batch(b).to_pylist() for b in batches] == once and sum(asked) == 150_000
+    small = bpe.TreeBpe(PATH, tree=False, cache=7_000)
+    assert [small.encode_batch(b).to_pylist() for b in batches[:4] * 2] == once[:4] * 2
+    assert once[0][0] == library.encode(batches[0][0].as_py(), add_special_tokens=False).ids
