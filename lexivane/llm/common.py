@@ -9,10 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexivane.storage import shared_dir
-
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
+from lexivane.storage import shared_dir, shuffles_end_with_their_query
 
 #: A row group is held whole by the task that reads it, so those that are written stay small.
 ROW_GROUP = 16 << 20
@@ -29,17 +26,6 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/lexivane/{uuid.uuid4().hex}/{name}"
 
 
-@contextmanager
-def shuffles_end_with_their_query(spark: SparkSession):
-    """Within it, shuffle files go as soon as the action that made them has ended, so that disk use is that of the largest step, not of their sum."""
-    old = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(CLEANUP) if old is None else spark.conf.set(CLEANUP, old)
-
-
 _made: contextvars.ContextVar[list | None] = contextvars.ContextVar("made", default=None)
 
 

@@ -17,8 +17,10 @@ falls over the words of a partition, whatever the batches that it comes in. A pa
 trains on BATCH words at a time, fewer where there are less than four times as many
 different ones: their windows are computed from the same weights.
 
-Weights of the whole vocabulary are held by every task, as the algorithm does, so the
-vocabulary's words and ids are broadcast to them too: that bounds the vocabulary, not the
+Weights are a table of rows. A partition gets the rows that its lines can change and their
+tree nodes (with negative samples every word's output), and gives back by how much it has
+changed them; the driver sees none. Words, ids and tree are held by the driver and broadcast,
+and Spark ML's trainer holds all weights in every task: that bounds the vocabulary, not the
 corpus.
 """
 
@@ -32,7 +34,6 @@ from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.ml.feature import Word2Vec
 from pyspark.sql import DataFrame
@@ -43,11 +44,13 @@ from lexivane.operators.corpus import tokens_of
 from lexivane.operators.model import VectorModel
 from lexivane.operators.seeded import initial_vectors, vector_of
 from lexivane.operators.vocab import build_vocab
-from lexivane.storage import remove, written
+from lexivane.storage import remove, shuffles_end_with_their_query, written
 
 THREADS = 12
 LEAST_WORDS = 20_000
 BATCH = 64
+#: Words of lines whose windows are laid out at a time, about.
+PASS = 100_000
 
 
 @dataclass
@@ -61,30 +64,37 @@ class Trained:
     losses: list[float] = field(default_factory=list)
 
 
-def huffman(counts: list[int]) -> tuple[list[list[int]], list[list[int]]]:
-    """Codes and inner nodes of each word in a Huffman tree of the counts, ties by order."""
+def tree_paths(counts: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes and inner nodes of each word in a Huffman tree of the counts, ties by order, as rows of one width, and which of their places are real."""
     n = len(counts)
     if n < 2:
-        return [[0] * n] * n, [[0] * n] * n
-    heap = [(c, i, i) for i, c in enumerate(counts)]
+        return np.zeros((n, 1), np.int8), np.zeros((n, 1), np.int32), np.ones((n, 1), bool)
+    heap = [(c, i) for i, c in enumerate(counts)]
     heapq.heapify(heap)
-    parent, code, nxt = {}, {}, n
-    while len(heap) > 1:
-        c1, _, a = heapq.heappop(heap)
-        c2, _, b = heapq.heappop(heap)
-        parent[a], parent[b], code[a], code[b] = nxt, nxt, 0, 1
-        heapq.heappush(heap, (c1 + c2, nxt, nxt))
-        nxt += 1
-    codes, points = [], []
-    for w in range(n):
-        c, p, x = [], [], w
-        while x in parent:
-            c.append(code[x])
-            p.append(parent[x] - n)
-            x = parent[x]
-        codes.append(c[::-1])
-        points.append(p[::-1])
-    return codes, points
+    parent, code = np.zeros(2 * n - 1, np.int32), np.zeros(2 * n - 1, np.int8)
+    for nxt in range(n, 2 * n - 1):
+        c1, a = heapq.heappop(heap)
+        c2, b = heapq.heappop(heap)
+        parent[a] = parent[b] = nxt
+        code[b] = 1
+        heapq.heappush(heap, (c1 + c2, nxt))
+    top, ups = 2 * n - 2, [np.arange(n)]
+    while (ups[-1] != top).any():
+        ups.append(np.where(ups[-1] == top, top, parent[ups[-1]]))
+    depth = sum((u != top).astype(np.int64) for u in ups)
+    wide = len(ups) - 1
+    codes, points, real = np.zeros((n, wide), np.int8), np.zeros((n, wide), np.int32), np.zeros((n, wide), bool)
+    for up, u in enumerate(ups[:-1]):
+        some = np.flatnonzero(u != top)
+        at = depth[some] - 1 - up
+        codes[some, at], points[some, at], real[some, at] = code[u[some]], parent[u[some]] - n, True
+    return codes, points, real
+
+
+def huffman(counts: list[int]) -> tuple[list[list[int]], list[list[int]]]:
+    """Codes and inner nodes of each word in a Huffman tree of the counts, ties by order."""
+    codes, points, real = tree_paths(counts)
+    return tuple([row[some].tolist() for row, some in zip(x, real)] for x in (codes, points))
 
 
 def keep_chances(counts: np.ndarray, t: float) -> np.ndarray:
@@ -175,9 +185,10 @@ def step(weights: np.ndarray, outputs: np.ndarray, sources: np.ndarray, owner: n
         real.append(settings["paths"][targets])
     if settings["negative"]:
         drawn = settings["table"][rng.integers(0, len(settings["table"]), (n, settings["negative"]))]
-        nodes.append(settings["inner"] + np.column_stack([targets, drawn]))
+        told = settings["places"][targets]
+        nodes.append(settings["inner"] + np.column_stack([told, drawn]))
         labels.append(np.column_stack([np.ones(n), np.zeros(drawn.shape)]))
-        real.append(np.column_stack([np.ones(n, bool), drawn != targets[:, None]]))
+        real.append(np.column_stack([np.ones(n, bool), drawn != told[:, None]]))
     node, y, use = (np.concatenate(x, axis=1) for x in (nodes, labels, real))
     theta = outputs[node]
     p = _sigmoid(np.einsum("nts,ns->nt", theta, h))
@@ -195,7 +206,7 @@ def train_lines(lines: list[np.ndarray], weights: np.ndarray, outputs: np.ndarra
     n, loss, examples = len(words), 0.0, 0
     if not settings["hs"] and not settings["negative"]:
         return n, 0.0
-    batch = max(1, min(BATCH, len(weights) // 4))
+    batch = settings["batch"]
     for start in range(0, n, batch):
         a, b = np.searchsorted(place, [start, start + batch])
         if a == b:
@@ -236,7 +247,7 @@ def train(corpus: DataFrame, size: int = 100, window: int = 5, sample: float = 1
             start = initial_vectors(vocab, size)
             vectors = start.join(learned, "word", "left").select("word_id", "word", F.coalesce("learned", "vector").alias("vector"))
         else:
-            vectors, losses = _own(lines, rows, size, window, hs, negative, cbow, iter, alpha, sentence_vectors, seed, k)
+            vectors, losses = _own(lines, vocab, rows, size, window, hs, negative, cbow, iter, alpha, sentence_vectors, seed, k)
         remove(lines)
     else:
         raise ValueError(f"unknown mode: {mode}")
@@ -244,58 +255,159 @@ def train(corpus: DataFrame, size: int = 100, window: int = 5, sample: float = 1
     return Trained(model, vectors, vocab, word_classes(model.df, classes) if classes > 0 else None, losses)
 
 
-def _padded(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Lists as rows of one width, and which of their places are real."""
-    wide = max([1, *map(len, lists)])
-    out, real = np.zeros((len(lists), wide), np.int64), np.zeros((len(lists), wide), bool)
-    for i, x in enumerate(lists):
-        out[i, : len(x)], real[i, : len(x)] = x, True
-    return out, real
+class Share:
+    """One pass of a partition over its lines, with the rows of the weights that they need: rows come by side (0 weights, 1 outputs) and number, then lines by turn."""
+
+    def __init__(self, settings: dict, part: int, turn: int):
+        self.settings, self.rng = settings, np.random.default_rng([settings["seed"], turn, part])
+        self.rates = [settings["alpha"] * max(1e-4, 1 - (turn + e) / settings["iter"]) for e in (0, 1)]
+        self.part, self.words = part, settings["sizes"][part]
+        self.rows, self.values, self.parts = ([], []), ([], []), ([], [])
+        self.lines, self.held, self.seen, self.loss = [], 0, 0, 0.0
+        self.start = None
+
+    def take(self, pdf: pd.DataFrame) -> None:
+        sides = pdf["side"].to_numpy()
+        for side in (0, 1):
+            some = np.flatnonzero(sides == side)
+            if len(some):
+                self.rows[side].append(pdf["row"].to_numpy()[some])
+                self.values[side].append(np.frombuffer(b"".join(pdf["vector"].iloc[some])))
+                self.parts[side].extend(pdf["parts"].iloc[some])
+        for ids in pdf["ids"].iloc[np.flatnonzero(sides == 2)]:
+            if self.start is None:
+                self.open()
+            self.lines.append(np.searchsorted(self.rows[0], ids))
+            self.held += len(ids)
+            if self.held >= PASS:
+                self.go()
+
+    def open(self) -> None:
+        s = self.settings
+        self.rows = [np.concatenate([*x, np.zeros(0, np.int64)]) for x in self.rows]
+        self.start = [np.concatenate([*x, np.zeros(0)]).reshape(-1, s["size"]) for x in self.values]
+        self.values = [x.copy() for x in self.start]
+        words, nodes = self.rows
+        real = s["paths"][words]
+        self.local = s | {"places": words, "inner": len(nodes) - s["n"] if s["negative"] else 0, "doc_ids": frozenset(np.flatnonzero(s["is_doc"][words]).tolist())}
+        self.local |= {"codes": s["codes"][words], "points": np.where(real, np.searchsorted(nodes, s["points"][words]), 0), "paths": real}
+
+    def go(self) -> None:
+        share = [(self.seen + n) / max(1, self.words) for n in (0, self.held)]
+        m, mean = train_lines(self.lines, *self.values, self.local, tuple(self.rates[0] + (self.rates[1] - self.rates[0]) * x for x in share), self.rng)
+        self.seen, self.loss = self.seen + m, self.loss + m * mean
+        self.lines, self.held = [], 0
+
+    def close(self):
+        """By how much its part of all words has changed each row; the first partition that has a row gives what it was besides."""
+        if self.start is None:
+            return
+        self.go()
+        part_of_all = self.seen / self.settings["total"]
+        for side in (0, 1):
+            owner = np.array([x is not None for x in self.parts[side]], bool)
+            give = owner | (self.values[side] != self.start[side]).any(axis=1)
+            give[:1] |= side == 0  # has the loss
+            for some in np.array_split(np.flatnonzero(give), 1 + int(give.sum()) // 2000) if give.any() else ():
+                start = self.start[side][some]
+                out = (self.values[side][some] - start) * part_of_all + start * owner[some][:, None]
+                lost = np.where((some == 0) & (side == 0), self.loss, 0.0)
+                yield pd.DataFrame({"side": side, "row": self.rows[side][some], "part": self.part, "parts": pd.Series([self.parts[side][i] for i in some], dtype=object), "lost": lost, "vector": [x.tobytes() for x in out]})
+
+
+def summed(frames):
+    """The rows of partitions that stand for one row of the weights, in order and side by side, as one."""
+    held = None
+    for pdf in frames:
+        if held is not None:
+            pdf = pd.concat([held, pdf], ignore_index=True)
+        side, row = pdf["side"].to_numpy(), pdf["row"].to_numpy()
+        new = np.flatnonzero(np.concatenate([[True], (side[1:] != side[:-1]) | (row[1:] != row[:-1])])[: len(pdf)])
+        if len(new) < 2:
+            held = pdf
+            continue
+        held = pdf.iloc[new[-1] :]
+        yield _one_each(pdf.iloc[: new[-1]], new[:-1])
+    if held is not None and len(held):
+        yield _one_each(held, np.zeros(1, np.int64))
+
 
+def _one_each(pdf: pd.DataFrame, new: np.ndarray) -> pd.DataFrame:
+    vectors = np.frombuffer(b"".join(pdf["vector"])).reshape(len(pdf), -1)
+    sizes = np.diff(np.concatenate([new, [len(pdf)]]))
+    out, lost = vectors[new], pdf["lost"].to_numpy()[new]
+    for j in range(1, sizes.max(initial=0)):  # one after the other, so that batches decide nothing
+        some = np.flatnonzero(sizes > j)
+        out[some] += vectors[new[some] + j]
+        lost[some] += pdf["lost"].to_numpy()[new[some] + j]
+    return pd.DataFrame({"side": pdf["side"].iloc[new], "row": pdf["row"].iloc[new], "parts": pdf["parts"].iloc[new], "lost": lost, "vector": [x.tobytes() for x in out]})
 
-def _own(lines: DataFrame, rows: list, size, window, hs, negative, cbow, iter, alpha, sentence_vectors, seed, k) -> tuple[DataFrame, list[float]]:
+
+def _own(lines: DataFrame, vocab: DataFrame, rows: list, size, window, hs, negative, cbow, iter, alpha, sentence_vectors, seed, k) -> tuple[DataFrame, list[float]]:
     spark = lines.sparkSession
     n, counts = len(rows), [r["count"] for r in rows]
     inner = max(1, n - 1) if hs else 0
-    codes, points = huffman(counts) if hs else ([], [])
-    codes, paths = _padded(codes)
+    codes, points, paths = tree_paths(counts) if hs else (np.zeros((n, 0), np.int8), np.zeros((n, 0), np.int32), np.zeros((n, 0), bool))
     power = np.array(counts, dtype=np.float64) ** 0.75
     table = np.repeat(np.arange(n), np.maximum(1, (power / power.sum() * 100_000).astype(int))) if negative else np.zeros(1, int)
-    docs = frozenset(i for i, r in enumerate(rows) if r.word.startswith("doc_id:")) if sentence_vectors else frozenset()
-    weights = np.stack([vector_of(r.word_id, size) for r in rows]) if n else np.zeros((0, size))
-    outputs = np.zeros((inner + (n if negative else 0), size))
-    settings = {"cbow": cbow, "hs": hs, "negative": negative, "window": window, "codes": codes, "points": _padded(points)[0], "paths": paths, "table": table, "doc_ids": docs, "inner": inner, "alpha": alpha}
-    # Dealt and sorted by each line's turn, so that partitions are random, and the same in each run.
-    dealt = lines.select("ids", "turn").repartition(k, "turn").sortWithinPartitions("turn", "ids").select("ids").persist()
-    sizes = {r.part: r.n or 0 for r in dealt.groupBy(F.spark_partition_id().alias("part")).agg(F.sum(F.size("ids")).alias("n")).collect()}
+    is_doc = np.array([sentence_vectors and r.word.startswith("doc_id:") for r in rows], bool)
+    # Dealt by each line's turn, so that partitions are random, and the same in each run.
+    dealt = lines.select(F.pmod(F.hash("turn"), F.lit(k)).alias("part"), "turn", "ids").filter(F.size("ids") > 0)
+    sizes = {r.part: r.n for r in dealt.groupBy("part").agg(F.sum(F.size("ids")).alias("n")).collect()}
+    settings = {"cbow": cbow, "hs": hs, "negative": negative, "window": window, "codes": codes, "points": points, "paths": paths, "table": table, "is_doc": is_doc, "alpha": alpha, "iter": iter, "seed": seed, "size": size, "n": n}
+    settings |= {"word_ids": np.array([r.word_id for r in rows], np.int64), "sizes": sizes, "total": sum(sizes.values()), "batch": max(1, min(BATCH, n // 4))}
+    sent = spark.sparkContext.broadcast(settings)
+
+    def needed(frames):
+        seen = {}
+        for pdf in frames:
+            for part, ids in pdf.groupby("part")["ids"]:
+                seen.setdefault(part, np.zeros(n, bool))[np.concatenate(list(ids))] = True
+        s = sent.value
+        for part, some in seen.items():
+            words = np.flatnonzero(some)
+            nodes = np.unique(s["points"][words][s["paths"][words]])
+            if negative:
+                nodes = np.concatenate([nodes, inner + np.arange(n)])
+            yield pd.DataFrame({"part": part, "side": np.repeat([0, 1], [len(words), len(nodes)]), "row": np.concatenate([words, nodes])})
+
+    def begun(frames):
+        for pdf in frames:
+            ids = sent.value["word_ids"][np.where(pdf["side"] == 0, pdf["row"], 0)]
+            yield pdf.assign(lost=0.0, vector=[(vector_of(i, size) if side == 0 else np.zeros(size)).tobytes() for i, side in zip(ids, pdf["side"])])
+
+    def run(frames, turn):
+        share = None
+        for pdf in frames:
+            for part, some in pdf.groupby("part", sort=False):
+                if share is None or share.part != part:
+                    if share is not None:
+                        yield from share.close()
+                    share = Share(sent.value, part, turn)
+                share.take(some)
+        if share is not None:
+            yield from share.close()
+
+    kept = "side int, row long, parts array<int>, lost double, vector binary"
     losses = []
-    for turn in range(iter):
-        sent = spark.sparkContext.broadcast((weights, outputs, settings))
-        rates = tuple(alpha * max(1e-4, 1 - (turn + e) / iter) for e in (0, 1))
-
-        def run(frames, sent=sent, rates=rates, turn=turn):
-            w, o, s = sent.value
-            w, o, seen, loss = w.copy(), o.copy(), 0, 0.0
-            part = TaskContext.get().partitionId()
-            rng = np.random.default_rng([seed, turn, part])
+    with shuffles_end_with_their_query(spark):
+        wanted = dealt.mapInPandas(needed, "part int, side int, row long").groupBy("side", "row").agg(F.array_sort(F.collect_set("part")).alias("parts"))
+        state = written(wanted.mapInPandas(begun, kept))
+        for turn in range(iter if sizes else 0):
+            to = state.select(F.explode("parts").alias("part"), "side", "row", "parts", "vector").withColumn("parts", F.when(F.col("part") == F.col("parts")[0], F.col("parts")))
+            fed = to.withColumn("ids", F.lit(None).cast("array<int>")).unionByName(dealt.select("part", F.lit(2).alias("side"), F.col("turn").alias("row"), "ids"), allowMissingColumns=True)
+            fed = fed.repartitionById(k, "part").sortWithinPartitions("part", "side", "row", "ids")
+            changed = fed.mapInPandas(lambda frames, turn=turn: run(frames, turn), kept.replace("parts", "part int, parts", 1))
+            old, state = state, written(changed.repartition("side", "row").sortWithinPartitions("side", "row", "part").mapInPandas(summed, kept))
+            remove(old)
+            losses.append(sum(r.lost for r in state.filter("lost != 0").orderBy("side", "row").select("lost").collect()) / settings["total"])
+
+        def learned(frames):
             for pdf in frames:
-                lines = list(pdf["ids"])
-                share = [(seen + n) / max(1, sizes[part]) for n in (0, sum(map(len, lines)))]
-                m, mean = train_lines(lines, w, o, s, tuple(rates[0] + (rates[1] - rates[0]) * x for x in share), rng)
-                seen, loss = seen + m, loss + m * mean
-            if seen:
-                yield pd.DataFrame({"seen": [seen], "loss": [loss], "weights": [w.tobytes()], "outputs": [o.tobytes()]})
-
-        total, lost, w_sum, o_sum = 0, 0.0, np.zeros_like(weights), np.zeros_like(outputs)
-        for p in dealt.mapInPandas(run, "seen long, loss double, weights binary, outputs binary").toLocalIterator():
-            total, lost = total + p.seen, lost + p.loss
-            w_sum += p.seen * np.frombuffer(p.weights).reshape(weights.shape)
-            o_sum += p.seen * np.frombuffer(p.outputs).reshape(outputs.shape)
-        if total:
-            weights, outputs = w_sum / total, o_sum / total
-            losses.append(lost / total)
-        sent.unpersist()
-    dealt.unpersist()
-    flat = pa.array(weights.astype(np.float32).ravel())
-    made = pa.table({"word_id": pa.array([r.word_id for r in rows], pa.int32()), "word": pa.array([r.word for r in rows], pa.string()), "vector": pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * size, pa.int32()), flat)})
-    return spark.createDataFrame(made), losses
+                yield pd.DataFrame({"word_id": sent.value["word_ids"][pdf["row"]], "learned": [np.frombuffer(x).astype(np.float32) for x in pdf["vector"]]})
+
+        found = state.filter("side = 0").mapInPandas(learned, "word_id int, learned array<float>")
+        vectors = written(initial_vectors(vocab, size).join(found, "word_id", "left").select("word_id", "word", F.coalesce("learned", "vector").alias("vector")))
+    remove(state)
+    sent.destroy()
+    return vectors, losses

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that spark.checkpoint.dir names. Only a session of one process (as in tests) may leave it unset: it gets a folder of its own."""
@@ -39,3 +42,14 @@ def remove(df: DataFrame) -> None:
     spark = df.sparkSession
     p = spark._jvm.org.apache.hadoop.fs.Path(df.work_path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def shuffles_end_with_their_query(spark: SparkSession):
+    """Within it, shuffle files go as soon as the action that made them has ended, so that disk use is that of the largest step, not of their sum."""
+    old = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if old is None else spark.conf.set(CLEANUP, old)

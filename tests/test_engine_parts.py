@@ -291,6 +291,36 @@ def test_sentence_vectors_of_many_lines(spark):
     assert losses == sorted(losses, reverse=True) and losses[-1] < losses[0]
 
 
+def test_weights_stay_off_the_driver(spark):
+    """The driver's Python never holds as much as the weights of all words."""
+    import tracemalloc
+
+    corpus = spark.createDataFrame([(i, f"doc_id:{i} own{i} group{i % 25}") for i in range(3_000)], "doc_id long, line string")
+    tracemalloc.start()
+    try:
+        made = train(corpus, size=800, iter=1, cbow=1, hs=1, sentence_vectors=True, sample=0, partitions=3)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert made.vectors.count() == 6_026 and most < 6_026 * 800 * 8
+
+
+@pytest.mark.parametrize("options", [{"hs": 1}, {"hs": 0, "negative": 3}, {"hs": 1, "negative": 2, "sentence_vectors": True}])
+def test_batches_do_not_decide_what_is_trained(spark, options):
+    """Rows of weights and lines come in batches of any size."""
+    corpus = spark.createDataFrame([(i, f"doc_id:{i} a{i % 7} b{i % 5} c") for i in range(60)], "doc_id long, line string")
+    key, got = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    old = spark.conf.get(key)
+    for n in (10_000, 7):
+        spark.conf.set(key, n)
+        try:
+            made = train(corpus, size=8, iter=2, cbow=1, min_count=1, sample=0, partitions=3, **options)
+        finally:
+            spark.conf.set(key, old)
+        got.append(({r.word: list(r.vector) for r in made.vectors.collect()}, made.losses))
+    assert got[0] == got[1]
+
+
 def test_classes_are_at_rest(spark):
     """No word is nearer to the mean of another class than to its own, however slowly k-means gets there."""
     from lexivane.operators.cluster import classes, settled
