@@ -13,13 +13,18 @@ from lexivane.storage import shared_dir, shuffles_end_with_their_query
 
 #: A row group is held whole by the task that reads it, so those that are written stay small.
 ROW_GROUP = 16 << 20
+#: A reading task holds the texts of so many rows at a time, and as much again while its buffer grows.
+READ_ROWS = 256
 
 
 def bounded_files(spark: SparkSession) -> None:
-    """Parquet files are read into one buffer and written in row groups of a bounded size, unless the session already says so. Vectored reads hold column chunks a second time, in direct buffers that stay with each reading thread; where those run out the thread ends, and its task waits until it fails."""
+    """Parquet files are read into one buffer, few rows of it decoded at a time, and written in row groups of a bounded size, unless the session already says so. Vectored reads hold column chunks a second time, in direct buffers that stay with each reading thread; where those run out the thread ends, and its task waits until it fails."""
     for key, value in (("parquet.hadoop.vectored.io.enabled", "false"), ("parquet.block.size", str(ROW_GROUP))):
         if spark.conf.get(key, None) is None and spark.sparkContext.getConf().get(f"spark.hadoop.{key}") is None:
             spark.conf.set(key, value)
+    rows = "spark.sql.parquet.columnarReaderBatchSize"
+    if spark.sparkContext.getConf().get(rows) is None:
+        spark.conf.set(rows, str(READ_ROWS))
 
 
 def work_path(spark: SparkSession, name: str) -> str:

@@ -26,3 +26,14 @@ def test_large_row_groups(spark, tmp_path):
     sizes = [m.row_group(i).total_byte_size for p in kept.inputFiles() for m in [pq.ParquetFile(p.removeprefix("file://")).metadata] for i in range(m.num_row_groups)]
     assert kept.count() == 25_000 and max(sizes) < 24 << 20
     remove_path(spark, kept.work_path.rsplit("/", 1)[0])
+
+
+def test_few_rows_are_decoded_at_a_time(spark, tmp_path):
+    """A task that reads long texts holds those of a few hundred rows, not of thousands."""
+    spark.range(0, 5_000, 1, 1).selectExpr("id as doc_id", "repeat('x', 100) as text").write.parquet(f"{tmp_path}/documents.parquet")
+    run = table(spark, str(tmp_path), "documents")._jdf.queryExecution()
+    assert run.toRdd().count() == 5_000
+    node = run.executedPlan()
+    while not node.metrics().contains("numInputBatches"):
+        node = node.children().head()
+    assert node.metrics().apply("numInputBatches").value() >= 5_000 / 512
